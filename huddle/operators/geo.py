@@ -91,3 +91,18 @@ def with_region(points: DataFrame, boxes: DataFrame, id_col: str, *, max_broadca
     if n <= max_broadcast:
         return with_region_broadcast(points, boxes, **kw)
     return with_region_grid(points, boxes, id_col, cell=cell, **kw)
+
+
+def box_matches(points: DataFrame, boxes: DataFrame, *, country: str = "country_code",
+                lat: str = "latitude", lng: str = "longitude",
+                has_loc: str | None = "has_location") -> DataFrame:
+    """Every matching box per point (left join: no match keeps the point with
+    NULL box columns). The box side is broadcast; callers check its size."""
+    b = boxes.select(F.col("country_code").alias("__geo_cc"), "state", "min_lat", "max_lat",
+                     "min_lng", "max_lng")
+    cond = ((F.col(country) == F.col("__geo_cc"))
+            & F.col(lat).between(F.col("min_lat"), F.col("max_lat"))
+            & F.col(lng).between(F.col("min_lng"), F.col("max_lng")))
+    if has_loc is not None:
+        cond = (F.col(has_loc) == F.lit(True)) & cond
+    return points.join(F.broadcast(b), cond, "left").drop("__geo_cc")

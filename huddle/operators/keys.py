@@ -110,3 +110,12 @@ def latest_flag(df: DataFrame, group: list[str], order: list[Order], id_col: str
     return (df.join(winners, F.col(id_col) == F.col("__winner"), "left")
               .withColumn(name, F.col("__winner").isNotNull())
               .drop("__winner"))
+
+
+def rank_one(df: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:
+    """Keep the first row per partition (``row_number() = 1``; planned as a
+    WindowGroupLimit). Only for groups of bounded size, such as the boxes that
+    match one point; use ``first_per_key`` where a group can be large."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")

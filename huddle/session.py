@@ -23,7 +23,8 @@ JOB_CONF = {
 def build_session(master: str | None = None, app: str = "huddle",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Session for tests, benchmarks and local runs (UI off)."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in JOB_CONF.items():
