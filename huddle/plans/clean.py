@@ -42,15 +42,32 @@ def clean_teams(raw: DataFrame, cfg: JobConfig) -> DataFrame:
                                    F.col("country_code").isin(list(cfg.valid_country_codes)), C.MSG_COUNTRY)])
 
 
-def clean_membership(raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
-    df = _select_keyed(raw, "membership_id", cfg).select(
+def prepare_membership(raw: DataFrame, cfg: JobConfig) -> DataFrame:
+    return _select_keyed(raw, "membership_id", cfg).select(
         "membership_id", F.col("group_id").alias("team_id"), "role_title", "joined_at", "p_date")
+
+
+def validate_membership(df: DataFrame, teams: DataFrame) -> DataFrame:
     df = fk_flag(df, "team_id", valid_rows(teams), "team_id", "is_valid_team_id")
     return apply_checks(df, [Check("is_valid_team_id", F.col("is_valid_team_id"), C.MSG_FK_TEAM)])
 
 
-def clean_events(raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
-    df = _select_keyed(raw, "event_id", cfg)
+def clean_membership(raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
+    return validate_membership(prepare_membership(raw, cfg), teams)
+
+
+MEMBERSHIP_BASE = ["membership_id", "team_id", "role_title", "joined_at", "p_date"]
+EVENT_BASE = ["event_id", "team_id", "event_start", "event_end", "latitude", "longitude", "created_at", "p_date"]
+RSVP_BASE = ["event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "p_date"]
+RSVP_COLUMNS = RSVP_BASE + ["rsvp_response", "is_latest_response", "is_valid_event_id", "is_valid_membership_id",
+                            "is_valid_rsvp", "is_valid_record", "validation_error"]
+
+
+def prepare_events(raw: DataFrame, cfg: JobConfig) -> DataFrame:
+    return _select_keyed(raw, "event_id", cfg)
+
+
+def validate_events(df: DataFrame, teams: DataFrame) -> DataFrame:
     df = fk_flag(df, "team_id", valid_rows(teams), "team_id", "is_valid_team_id")
     df = apply_checks(df, [
         Check("is_valid_team_id", F.col("is_valid_team_id"), C.MSG_FK_TEAM),
@@ -60,6 +77,10 @@ def clean_events(raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
                            "event_duration_minutes": X.duration_minutes()})
 
 
+def clean_events(raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
+    return validate_events(prepare_events(raw, cfg), teams)
+
+
 def rsvp_checks(cfg: JobConfig) -> list[Check]:
     return [
         Check("is_valid_event_id", F.col("is_valid_event_id"), C.MSG_FK_EVENT),
@@ -68,24 +89,32 @@ def rsvp_checks(cfg: JobConfig) -> list[Check]:
     ]
 
 
+def prepare_rsvps(raw: DataFrame, cfg: JobConfig) -> DataFrame:
+    return _select_keyed(raw, "event_rsvp_id", cfg, RSVP_SURVIVOR).select(*RSVP_BASE)
+
+
+def validate_rsvps(df: DataFrame, memberships: DataFrame, events: DataFrame, cfg: JobConfig) -> DataFrame:
+    """FK flags, label and checks; keeps any columns already present (such as
+    the latest flag)."""
+    df = fk_flag(df, "membership_id", valid_rows(memberships), "membership_id", "is_valid_membership_id")
+    df = fk_flag(df, "event_id", valid_rows(events), "event_id", "is_valid_event_id")
+    df = df.withColumn("rsvp_response", X.rsvp_label())
+    return apply_checks(df, rsvp_checks(cfg))
+
+
 def clean_event_rsvps(raw: DataFrame, memberships: DataFrame, events: DataFrame, cfg: JobConfig) -> DataFrame:
     """RSVPs: survivor per key, latest answer per (event, member), FK and status checks.
 
     The latest flag is taken before the FK joins (it does not depend on them),
     while the rows are still partitioned by the key the flag is joined back on.
     """
-    df = _select_keyed(raw, "event_rsvp_id", cfg, RSVP_SURVIVOR)
+    df = prepare_rsvps(raw, cfg)
     if cfg.latest_among == "all":
         df = latest_flag(df, ["event_id", "membership_id"], LATEST_ORDER, "event_rsvp_id")
-    df = fk_flag(df, "membership_id", valid_rows(memberships), "membership_id", "is_valid_membership_id")
-    df = fk_flag(df, "event_id", valid_rows(events), "event_id", "is_valid_event_id")
-    df = df.withColumn("rsvp_response", X.rsvp_label())
-    df = apply_checks(df, rsvp_checks(cfg))
+    df = validate_rsvps(df, memberships, events, cfg)
     if cfg.latest_among == "valid":
         df = latest_flag(df, ["event_id", "membership_id"], LATEST_ORDER, "event_rsvp_id",
                          among=F.col("is_valid_record"))
     elif cfg.latest_among != "all":
         raise ValueError(f"unknown latest_among {cfg.latest_among!r}")
-    return df.select("event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "p_date",
-                     "rsvp_response", "is_latest_response", "is_valid_event_id", "is_valid_membership_id",
-                     "is_valid_rsvp", "is_valid_record", "validation_error")
+    return df.select(*RSVP_COLUMNS)

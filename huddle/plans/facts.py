@@ -12,8 +12,11 @@ from huddle.plans.audit import add_audit
 from huddle.sources.catalog import window_filter
 
 
-def fct_event_rsvps(clean_rsvps: DataFrame, cfg: JobConfig, audit: bool = True) -> DataFrame:
-    df = window_filter(clean_rsvps.where(F.col("is_valid_record") == F.lit(True)), cfg)
+def fct_event_rsvps(clean_rsvps: DataFrame, cfg: JobConfig, audit: bool = True,
+                    window: bool = True) -> DataFrame:
+    df = clean_rsvps.where(F.col("is_valid_record") == F.lit(True))
+    if window:
+        df = window_filter(df, cfg)
     if audit:
         df = add_audit(df, cfg, updated=False)
         return df.select(*schemas.F_EVENTS_RSVPS, "etl_created_date")
