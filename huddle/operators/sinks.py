@@ -37,6 +37,10 @@ def write_table(df: DataFrame, target: str, *, partition_by: str | list[str] | N
     """
     parts = [partition_by] if isinstance(partition_by, str) else (partition_by or [])
     spark = spark or df.sparkSession
+    if parts:
+        # one shuffle on the partition columns so each task writes few
+        # partition folders; AQE packs small dates and splits a hot one
+        df = df.hint("rebalance", *parts)
     if dynamic and parts and not is_path(target) and spark.catalog.tableExists(target):
         cols = spark.table(target).columns
         (df.select(*cols).write.format(fmt).option("partitionOverwriteMode", "dynamic")
@@ -45,8 +49,9 @@ def write_table(df: DataFrame, target: str, *, partition_by: str | list[str] | N
     w = df.write.format(fmt).mode(mode)
     if parts:
         w = w.partitionBy(*parts)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    if parts:
+        # explicit per write: a full load must drop partitions absent from df
+        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if is_path(target):
         w.save(target)
     else:
