@@ -42,19 +42,26 @@ def write_table(df: DataFrame, target: str, *, partition_by: str | list[str] | N
         # partition folders; AQE packs small dates and splits a hot one
         df = df.hint("rebalance", *parts)
     if dynamic and parts and not is_path(target) and spark.catalog.tableExists(target):
-        cols = spark.table(target).columns
-        (df.select(*cols).write.format(fmt).option("partitionOverwriteMode", "dynamic")
-           .insertInto(target, overwrite=True))
+        # insertInto takes the overwrite mode from the session, not the writer
+        key = "spark.sql.sources.partitionOverwriteMode"
+        prev = spark.conf.get(key, "static")
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, prev)
         return
     w = df.write.format(fmt).mode(mode)
     if parts:
         w = w.partitionBy(*parts)
-    if parts:
-        # explicit per write: a full load must drop partitions absent from df
-        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if is_path(target):
+        if parts:
+            # explicit per write: a full load must drop partitions absent from df
+            w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         w.save(target)
     else:
+        # saveAsTable overwrite replaces the whole table; writer options would be
+        # stored as table properties and pin later inserts, so none are given
         w.saveAsTable(target)
 
 

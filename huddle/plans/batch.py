@@ -30,6 +30,11 @@ class Warehouse:
     # what an incremental run touched, for the stages after it
     touched: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if not self.root:
+            for db in {self.cfg.raw_db, self.cfg.clean_db, self.cfg.analytics_db}:
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+
     def target(self, layer: str, name: str) -> str:
         if self.root:
             db = self.cfg.table(layer, name).split(".")[0]

@@ -12,6 +12,8 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="huddle-tests", shuffle_partitions=4)
+    import tempfile
+    s = build_session("local[4]", app="huddle-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="huddle-wh-")})
     yield s
     s.stop()
