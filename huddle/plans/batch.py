@@ -29,6 +29,7 @@ class Warehouse:
     root: str | None = None
     # what an incremental run touched, for the stages after it
     touched: dict = field(default_factory=dict)
+    _frames: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         if not self.root:
@@ -42,15 +43,25 @@ class Warehouse:
         return self.cfg.table(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return sinks.read_target(self.spark, self.target(layer, name), self.cfg.table_format)
+        """The stored table; one file listing per table until it is written again."""
+        t = self.target(layer, name)
+        if t not in self._frames:
+            self._frames[t] = sinks.read_target(self.spark, t, self.cfg.table_format)
+        return self._frames[t]
 
     def exists(self, layer: str, name: str) -> bool:
         return sinks.target_exists(self.spark, self.target(layer, name), self.cfg.table_format)
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: str | None = None,
               dynamic: bool = False) -> None:
-        sinks.write_table(df, self.target(layer, name), partition_by=partition_by, dynamic=dynamic,
-                          fmt=self.cfg.table_format)
+        t = self.target(layer, name)
+        sinks.write_table(df, t, partition_by=partition_by, dynamic=dynamic, fmt=self.cfg.table_format)
+        self.forget(t)
+
+    def forget(self, target: str) -> None:
+        self._frames.pop(target, None)
+        if not sinks.is_path(target):
+            self.spark.catalog.refreshTable(target)
 
     def view(self, name: str, layer: str, table: str) -> None:
         t = self.target(layer, table)
@@ -99,6 +110,7 @@ def run_dims(wh: Warehouse) -> None:
     for dim, (src, key, cols) in dims.DIMS.items():
         frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg)
         dims.load_dim(wh.spark, frame, wh.target("analytics", dim), key, wh.cfg)
+        wh.forget(wh.target("analytics", dim))
         wh.view(f"v_{dim}", "analytics", dim)
     wh.view("v_d_geo_looker", "analytics", "d_geo_looker")
 
