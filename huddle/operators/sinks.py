@@ -89,14 +89,24 @@ def upsert_frame(target: DataFrame, source: DataFrame, key: str,
                  created_col: str = "etl_created_date") -> DataFrame:
     """Type-1 merge as a DataFrame: matched keys take every source column except
     ``created_col`` (kept from the target); new keys are inserted; target rows
-    without a source row stay as they are. No delete branch."""
+    without a source row stay as they are. No delete branch.
+
+    One full outer join on the key: each side is shuffled once, and keys are
+    unique on both sides, so no key is hot.
+    """
     cols = target.columns
-    kept = target.join(source.select(key), key, "left_anti")
-    old = target.select(F.col(key).alias("__k"), F.col(created_col).alias("__old_created"))
-    upd = (source.join(old, F.col(key) == F.col("__k"), "left")
-                 .withColumn(created_col, F.coalesce(F.col("__old_created"), F.col(created_col)))
-                 .select(*cols))
-    return kept.unionByName(upd)
+    t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols])
+    s = source.select(*[F.col(c).alias(f"__s_{c}") for c in cols])
+    j = t.join(s, F.col(f"__t_{key}") == F.col(f"__s_{key}"), "full")
+    from_source = F.col(f"__s_{key}").isNotNull()
+    out = []
+    for c in cols:
+        if c == created_col:
+            v = F.when(from_source, F.coalesce(F.col(f"__t_{c}"), F.col(f"__s_{c}"))).otherwise(F.col(f"__t_{c}"))
+        else:
+            v = F.when(from_source, F.col(f"__s_{c}")).otherwise(F.col(f"__t_{c}"))
+        out.append(v.alias(c))
+    return j.select(*out)
 
 
 def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
