@@ -51,28 +51,34 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext  # not available on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for staged tables and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only a
     local-mode session without one gets a fresh temp folder (tests).
     """
+    sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None and sc.getCheckpointDir():
+        d = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not d:
-        cp = spark.sparkContext.getCheckpointDir()
-        if cp:
-            d = os.path.dirname(cp.rstrip("/"))
-    if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="huddle-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core confs may be read-only at runtime
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
             pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
