@@ -55,3 +55,30 @@ def apply_retention(df: DataFrame, cutoff: str | dt.date) -> DataFrame:
     """The rows that stay: p_date >= cutoff, undated rows kept."""
     c = F.lit(dt.date.fromisoformat(cutoff) if isinstance(cutoff, str) else cutoff)
     return df.where((F.col("p_date") >= c) | F.col("p_date").isNull())
+
+
+def run_retention(wh, layer: str, table: str, cutoff: str | dt.date) -> DataFrame:
+    """Drop partitions older than ``cutoff`` from a p_date-partitioned table and
+    return the report of what was dropped. Catalog tables drop partitions in
+    the catalog; path tables are rewritten from a staged copy of the kept rows
+    (undated rows are kept either way)."""
+    from huddle.operators import sinks
+    from huddle.session import scratch_path
+
+    df = wh.read(layer, table)
+    report = retention_report(df, table, cutoff)
+    rows = report.collect()  # one row per dropped day: a small, bounded list
+    target = wh.target(layer, table)
+    old_dates = sorted(r["p_date"] for r in rows if r["p_date"] is not None)
+    if not old_dates:
+        return wh.spark.createDataFrame(rows, report.schema)
+    if not sinks.is_path(target):
+        for d in old_dates:
+            wh.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (p_date = DATE '{d.isoformat()}')")
+        wh.forget(target)
+    else:
+        stage = scratch_path(wh.spark, f"retention-{table}")
+        apply_retention(df, cutoff).write.format(wh.cfg.table_format).save(stage)
+        kept = wh.spark.read.format(wh.cfg.table_format).load(stage)
+        wh.write(kept, layer, table, "p_date")
+    return wh.spark.createDataFrame(rows, report.schema)
