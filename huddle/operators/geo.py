@@ -95,14 +95,20 @@ def with_region(points: DataFrame, boxes: DataFrame, id_col: str, *, max_broadca
 
 def box_matches(points: DataFrame, boxes: DataFrame, *, country: str = "country_code",
                 lat: str = "latitude", lng: str = "longitude",
-                has_loc: str | None = "has_location") -> DataFrame:
+                has_loc: str | None = "has_location", max_broadcast: int = 100_000,
+                n_boxes: int | None = None) -> DataFrame:
     """Every matching box per point (left join: no match keeps the point with
-    NULL box columns). The box side is broadcast; callers check its size."""
+    NULL box columns). The box side is broadcast when its measured count is
+    within ``max_broadcast``; otherwise the planner joins on the country key
+    with the range test as a residual."""
     b = boxes.select(F.col("country_code").alias("__geo_cc"), "state", "min_lat", "max_lat",
                      "min_lng", "max_lng")
+    n = box_count(boxes) if n_boxes is None else n_boxes
+    if n <= max_broadcast:
+        b = F.broadcast(b)
     cond = ((F.col(country) == F.col("__geo_cc"))
             & F.col(lat).between(F.col("min_lat"), F.col("max_lat"))
             & F.col(lng).between(F.col("min_lng"), F.col("max_lng")))
     if has_loc is not None:
         cond = (F.col(has_loc) == F.lit(True)) & cond
-    return points.join(F.broadcast(b), cond, "left").drop("__geo_cc")
+    return points.join(b, cond, "left").drop("__geo_cc")

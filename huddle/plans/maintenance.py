@@ -29,7 +29,7 @@ def revalidate(old_clean: DataFrame, recomputed: DataFrame, key: str) -> DataFra
 def revalidate_membership(old_clean: DataFrame, raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
     """Rerun the membership checks on partitions with not-valid rows against the
     current team table; return rows whose outcome changed (late parents)."""
-    dates = not_valid_dates(old_clean)  # at most one row per day: bounded
+    dates = not_valid_dates(old_clean)  # one row per partition day: bounded by the table's days
     raw_part = raw.join(F.broadcast(dates), "p_date", "left_semi")
     return revalidate(old_clean, clean.clean_membership(raw_part, teams, cfg), "membership_id")
 

@@ -182,3 +182,15 @@ def test_week_bucket_keeps_year(spark):
     r = df.select(F.weekofyear("a").alias("wa"), F.weekofyear("b").alias("wb"),
                   X.week_start("a").alias("sa"), X.week_start("b").alias("sb")).first()
     assert r["wa"] == r["wb"] and r["sa"] != r["sb"]
+
+
+def test_box_matches_same_without_broadcast(spark):
+    from huddle.operators import geo as G
+    pts = spark.createDataFrame([(str(i), "NOR", 55.0 + i * 0.37, 4.0 + i * 0.53, True) for i in range(40)],
+                                "id string, country_code string, latitude double, longitude double, "
+                                "has_location boolean")
+    boxes = spark.createDataFrame([("NOR", f"S{j}", 55.0 + j, 4.0 + j, 58.5 + j, 9.0 + j) for j in range(8)],
+                                  schemas.GEO_BOXES)
+    a = sorted(map(tuple, G.box_matches(pts, boxes).select("id", "state").collect()), key=repr)
+    b = sorted(map(tuple, G.box_matches(pts, boxes, max_broadcast=0).select("id", "state").collect()), key=repr)
+    assert a == b and len(a) > 40
