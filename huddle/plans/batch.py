@@ -112,7 +112,15 @@ def run_dims(wh: Warehouse) -> None:
         dims.load_dim(wh.spark, frame, wh.target("analytics", dim), key, wh.cfg)
         wh.forget(wh.target("analytics", dim))
         wh.view(f"v_{dim}", "analytics", dim)
-    wh.view("v_d_geo_looker", "analytics", "d_geo_looker")
+    if wh.exists("analytics", "d_geo_looker"):
+        wh.view("v_d_geo_looker", "analytics", "d_geo_looker")
+
+
+def geo_boxes(wh: Warehouse) -> DataFrame:
+    """The stored box table, or no boxes at all (every region NULL)."""
+    if wh.exists("analytics", "d_geo_looker"):
+        return wh.read("analytics", "d_geo_looker")
+    return wh.spark.createDataFrame([], schemas.GEO_BOXES)
 
 
 def run_facts(wh: Warehouse) -> None:
@@ -121,8 +129,7 @@ def run_facts(wh: Warehouse) -> None:
         f = facts.fct_event_rsvps(wh.read("clean", "clean_events_rsvps"), cfg)
         wh.write(f, "analytics", "f_events_rsvps", "p_date")
         e = facts.fct_events_enriched(wh.read("analytics", "d_events"), wh.read("analytics", "d_teams"),
-                                      wh.read("analytics", "d_geo_looker"), wh.read("analytics", "f_events_rsvps"),
-                                      cfg)
+                                      geo_boxes(wh), wh.read("analytics", "f_events_rsvps"), cfg)
         wh.write(e, "analytics", "f_events_enriched", "event_date")
     else:
         from huddle.streaming.incremental import refresh_facts

@@ -41,3 +41,28 @@ def test_same_table(warehouses, layer, name):
     b = inc.read(layer, name).drop("etl_created_date", "etl_updated_date").select(*a.columns)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_partition_emptied_when_its_only_row_moves(spark):
+    """A key answered again on a later day leaves its old day empty."""
+    import datetime as dt2
+    from pyspark.sql import functions as F
+    from huddle import schemas
+    D = dt2.datetime
+    teams = spark.createDataFrame([("t1", "x", "NOR", D(2024, 1, 1))], schemas.TEAMS)
+    members = spark.createDataFrame([("m1", "t1", "member", D(2024, 1, 1))], schemas.MEMBERSHIPS)
+    events = spark.createDataFrame([("e1", "t1", D(2024, 1, 5), D(2024, 1, 5, 1), 1.0, 1.0, D(2024, 1, 1))],
+                                   schemas.EVENTS)
+    day1 = spark.createDataFrame([("r1", "e1", "m1", 1, D(2024, 1, 2))], schemas.EVENT_RSVPS)
+    both = day1.unionByName(spark.createDataFrame([("r1", "e1", "m1", 2, D(2024, 1, 3))], schemas.EVENT_RSVPS))
+    root = scratch_path(spark, "t-move")
+    first = JobConfig(start_date="2024-01-01", end_date="2024-01-02")
+    batch.run_batch(spark, first, {"teams": teams, "memberships": members, "events": events, "event_rsvps": day1},
+                    root=root)
+    batch.run_batch(spark, JobConfig.for_day("2024-01-03"),
+                    {"teams": teams, "memberships": members, "events": events, "event_rsvps": both}, root=root)
+    rows = spark.read.parquet(f"{root}/huddle_clean/clean_events_rsvps").collect()
+    assert [(r.event_rsvp_id, r.rsvp_status, str(r.p_date), r.is_latest_response) for r in rows] == \
+        [("r1", 2, "2024-01-03", True)]
+    f = spark.read.parquet(f"{root}/huddle_analytics/f_events_rsvps").collect()
+    assert [(r.event_rsvp_id, str(r.p_date)) for r in f] == [("r1", "2024-01-03")]
