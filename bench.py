@@ -69,6 +69,7 @@ def main() -> None:
                    .withColumn("role_title", F.concat("role_title", F.lit("*")))
                    .withColumn("etl_updated_date", F.current_timestamp()))
         sinks.upsert(spark, changed, wh.target("analytics", "d_membership"), "membership_id")
+        wh.forget(wh.target("analytics", "d_membership"))
     q["snk_upsert_10pct"] = timed(upsert_10pct)
     q["met_new_vs_returning"] = timed(lambda: drain(metrics.met_new_vs_returning(
         wh.read("analytics", "f_events_rsvps"), wh.read("analytics", "d_membership"))))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # These must equal the source system's rules for identical
@@ -57,7 +57,6 @@ class JobConfig:
     geo_broadcast_max_boxes: int = 100_000
     # Grid cell size (degrees) of the non-broadcast geo join.
     geo_cell_degrees: float = 1.0
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "JobConfig":
         return replace(self, **kw)

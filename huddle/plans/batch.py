@@ -43,7 +43,11 @@ class Warehouse:
         return self.cfg.table(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        """The stored table; one file listing per table until it is written again."""
+        """The stored table; one file listing per table until it is written again.
+
+        Writes made outside ``write`` (e.g. a direct ``sinks.upsert``) must be
+        followed by ``forget(target)``.
+        """
         t = self.target(layer, name)
         if t not in self._frames:
             self._frames[t] = sinks.read_target(self.spark, t, self.cfg.table_format)

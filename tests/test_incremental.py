@@ -46,7 +46,6 @@ def test_same_table(warehouses, layer, name):
 def test_partition_emptied_when_its_only_row_moves(spark):
     """A key answered again on a later day leaves its old day empty."""
     import datetime as dt2
-    from pyspark.sql import functions as F
     from huddle import schemas
     D = dt2.datetime
     teams = spark.createDataFrame([("t1", "x", "NOR", D(2024, 1, 1))], schemas.TEAMS)
