@@ -32,9 +32,17 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn) -> float:
+ERRORS: dict[str, str] = {}
+
+
+def timed(fn, name: str = "") -> float | None:
+    """Seconds for one complete run; a failure is reported, not fatal."""
     t = time.perf_counter()
-    fn()
+    try:
+        fn()
+    except Exception as e:  # noqa: BLE001
+        ERRORS[name or getattr(fn, "__name__", "?")] = str(e).splitlines()[0][:300]
+        return None
     return round(time.perf_counter() - t, 3)
 
 
@@ -55,11 +63,11 @@ def main() -> None:
     drain(clean.clean_teams(wh.read("raw", "raw_teams"), cfg))  # warm-up
 
     q: dict[str, float] = {}
-    q["full_load"] = timed(lambda: run_batch(spark, cfg, root=root))
-    q["cln_event_rsvps"] = timed(lambda: drain(clean.clean_event_rsvps(
+    q["full_load"] = timed(name="full_load", fn=lambda: run_batch(spark, cfg, root=root))
+    q["cln_event_rsvps"] = timed(name="cln_event_rsvps", fn=lambda: drain(clean.clean_event_rsvps(
         wh.read("raw", "raw_events_rsvps"), wh.read("clean", "clean_membership"),
         wh.read("clean", "clean_events"), cfg)))
-    q["fct_events_enriched"] = timed(lambda: drain(facts.fct_events_enriched(
+    q["fct_events_enriched"] = timed(name="fct_events_enriched", fn=lambda: drain(facts.fct_events_enriched(
         wh.read("analytics", "d_events"), wh.read("analytics", "d_teams"),
         wh.read("analytics", "d_geo_looker"), wh.read("analytics", "f_events_rsvps"), cfg)))
 
@@ -70,14 +78,17 @@ def main() -> None:
                    .withColumn("etl_updated_date", F.current_timestamp()))
         sinks.upsert(spark, changed, wh.target("analytics", "d_membership"), "membership_id")
         wh.forget(wh.target("analytics", "d_membership"))
-    q["snk_upsert_10pct"] = timed(upsert_10pct)
-    q["met_new_vs_returning"] = timed(lambda: drain(metrics.met_new_vs_returning(
+    q["snk_upsert_10pct"] = timed(name="snk_upsert_10pct", fn=upsert_10pct)
+    q["met_new_vs_returning"] = timed(name="met_new_vs_returning", fn=lambda: drain(metrics.met_new_vs_returning(
         wh.read("analytics", "f_events_rsvps"), wh.read("analytics", "d_membership"))))
     day = JobConfig.for_day("2024-02-15")
-    q["incremental_day"] = timed(lambda: run_batch(spark, day, sources, root=root))
+    q["incremental_day"] = timed(name="incremental_day", fn=lambda: run_batch(spark, day, sources, root=root))
 
-    print(json.dumps({"metric": "total_sec", "value": round(sum(q.values()), 3), "unit": "sec",
-                      "queries": q, "sf": sf}))
+    out = {"metric": "total_sec", "value": round(sum(v for v in q.values() if v is not None), 3), "unit": "sec",
+           "queries": q, "sf": sf}
+    if ERRORS:
+        out["errors"] = ERRORS
+    print(json.dumps(out))
     spark.stop()
 
 
