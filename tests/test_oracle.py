@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from huddle import inventory, oracle
 from tests.conftest import SF001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -40,10 +41,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(inventory.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(inventory.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     sc, sr = _rows(df.columns, [tuple(r) for r in df.collect()])
