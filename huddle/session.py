@@ -86,3 +86,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/huddle/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in Python workers, once per application.
+
+    Needed where the package is neither installed on the executors nor given with
+    ``--py-files``: Spark's file server hands a zip of the sources to each of them.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        import zipfile
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="huddle-src-"), "huddle.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.join("huddle", os.path.relpath(full, root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return spark
