@@ -15,16 +15,17 @@ MEMO_ENTRIES = 400_000
 
 
 class Memo(dict):
-    """A bounded word -> value cache; a full cache is emptied, never a result lost."""
+    """A bounded word -> value cache. When it is full, further words are computed
+    each time: the frequent ones came early, and no result is lost."""
 
     def __init__(self, make: Callable, limit: int = MEMO_ENTRIES):
         super().__init__()
         self._make, self._limit = make, limit
 
     def __missing__(self, key):
-        if len(self) >= self._limit:
-            self.clear()
-        value = self[key] = self._make(key)
+        value = self._make(key)
+        if len(self) < self._limit:
+            self[key] = value
         return value
 
 
@@ -58,6 +59,48 @@ def gram_hashes(words: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return acc
 
 
+def row_hashes(grams: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the rows of a matrix of word hashes."""
+    salt = np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+    acc = mix64(grams[:, 0] ^ salt)
+    for j in range(1, grams.shape[1]):
+        acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + grams[:, j])
+    return acc
+
+
+# Words are runs of letters A-Z (lowered), digits and bytes from 0x80 on; the rest separates them
+WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+def held_out(id_col: str) -> Column:
+    """Whether a row is kept from fitting: crc32 of the id as text, modulo 3, is 1."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def bounded_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str,
+                   most: int, seed: int) -> tuple[DataFrame, np.ndarray]:
+    """(t, label, h) of at most ``most`` labelled rows that are not held out, and how many
+    labelled rows each sampled row of a class stands for.
+
+    Each class gives the half of the sample with the smallest hashes of its ids. The
+    list of ids is bounded, so it is broadcast to the documents and no text is shuffled.
+    """
+    known = (labels.select(F.col(label_id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
+             .where(F.col("__id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("__id"))
+             .withColumn("h", hash60(F.lit(seed), "__id")))
+    total = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = min(total.get(0, 0), total.get(1, 0), most // 2)
+    quota = {c: min(total.get(c, 0), most - few if total.get(c, 0) > most // 2 else most // 2) for c in (0, 1)}
+    taken = None
+    for c in (0, 1):
+        part = known.where(F.col("label") == c).orderBy("h", "__id").limit(quota[c])
+        taken = part if taken is None else taken.unionByName(part)
+    share = np.array([total.get(c, 0) / max(1, quota[c]) for c in (0, 1)])
+    text = F.coalesce(text_bytes(text_col), F.lit(b""))
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("t")).join(F.broadcast(taken), "__id")
+    return rows.dropDuplicates(["__id"]).select("t", "label", "h"), share
+
+
 def stage_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = scratch_path(spark, name)

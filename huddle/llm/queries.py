@@ -6,23 +6,77 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from huddle.session import ship_package
+
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import quality
+    return quality.quality_report(_docs(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import secrets
+    return secrets.scan_documents(_docs(spark, sf_dir))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from huddle.llm import tokens
+    return tokens.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import mixing
     return mixing.mix_report(_docs(spark, sf_dir))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import decontam
+    return decontam.hit_report(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("row_id")
+
+
 def op7_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import sharding
     return sharding.assign_shards(_docs(spark, sf_dir))
 
 
+def op8_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from huddle.llm import rans
+    from huddle.session import scratch_path
+    return rans.round_trip(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
+                           scratch_path(spark, "rans-files"), vocab=49_408)
+
+
+def op9_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from huddle.llm import vptree
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import toxicity
+    return toxicity.toxicity_report(_docs(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(ship_package(spark), sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: _shipped(f) for k, f in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,7 +21,8 @@ from huddle.llm.common import hash60, source_key, stage_table
 
 N_SHARDS = 40
 SEED = 17
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
+MAX_BUCKETS = 1 << 17
 LAW = "rows"
 
 
@@ -69,7 +70,7 @@ def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "d
     empty table gives an empty result. Extra columns are ignored.
     """
     total = docs.count()
-    buckets = max(1, -(-total // rows_per_bucket))
+    buckets = max(1, min(MAX_BUCKETS, -(-total // rows_per_bucket)))  # rows per bucket grow beyond that
     ties = ["doc_id", "text_crc32", "size"]
     rows = _shard_keys(docs, id_col, text_col, source_col, seed)
     in_source = F.floor(F.col("__h") * F.lit(buckets / 2.0 ** 60)).cast("int")
