@@ -23,8 +23,8 @@ def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from huddle.llm import secrets
-    return secrets.scan_documents(_docs(spark, sf_dir))
+    from huddle.llm import secret_scan
+    return secret_scan.scan_documents(_docs(spark, sf_dir))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
