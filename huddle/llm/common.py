@@ -120,11 +120,45 @@ def hash60(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *cols).cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
+SLOT_BITS = 23
+
+
+def slot_filter(keys: DataFrame, col: str, bits: int = SLOT_BITS) -> bytes:
+    """A bitmap of the leading bits of 64-bit hashes: 2^bits bits however many hashes there are.
+
+    It lets rows be dropped in a scan that cannot match; what passes is still joined
+    exactly, so a fuller bitmap costs time and changes nothing.
+    """
+    slot = F.shiftrightunsigned(col, 64 - bits)
+    pages = keys.select(slot.alias("s")).distinct().groupBy(F.shiftright("s", 12).alias("page")).agg(
+        F.collect_set((F.col("s") % 4096).cast("int")).alias("at"))  # at most 4096 numbers a page
+    out = np.zeros(1 << bits, bool)
+    for r in pages.collect():  # at most 2^(bits - 12) pages
+        out[r["page"] * 4096 + np.array(r["at"], np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+class SlotFilter:
+    """The bitmap of ``slot_filter`` in a task."""
+
+    def __init__(self, packed: bytes):
+        self.set = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
+        self.shift = np.uint64(64 - (len(self.set).bit_length() - 1))
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        return self.set[(hashes.view(np.uint64) >> self.shift).astype(np.int64)]
+
+
 def text_bytes(col: str) -> Column:
     """The UTF-8 bytes of a text column."""
     return F.col(col).cast("string").cast("binary")
 
 
+def text_key(col: str) -> Column:
+    """A 128-bit key of a text; null and empty texts share one."""
+    return F.md5(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
 def batches(it: Iterable[pa.RecordBatch], size: int = 512) -> Iterator[pa.RecordBatch]:
     """Smaller slices of Arrow batches, so that a task holds few texts' results at once."""
     for b in it:

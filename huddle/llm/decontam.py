@@ -5,7 +5,7 @@ the smallest is the window's fingerprint. Two equal windows have equal
 fingerprints, so every shared span of ten words is guaranteed to meet.
 
 1. The benchmark's windows give fingerprints and exact 128-bit window hashes. The
-   fingerprints are also folded into a bitmap of fixed size (``FILTER_BITS``).
+   fingerprints are also folded into a bitmap of fixed size.
 2. Every document is cut into words and its windows' fingerprints are looked up in
    the bitmap; only windows that hit it leave the task, as rows (row, start,
    fingerprint, window hash). Their number follows the contaminated text, not the corpus.
@@ -26,11 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from huddle.llm.common import WORD_BYTES, batches, gram_hashes, hash_memo, hash_words, row_hashes, stage_table, text_bytes
+from huddle.llm.common import (SlotFilter, WORD_BYTES, batches, gram_hashes, hash_memo, hash_words, row_hashes,
+                               slot_filter, stage_table, text_bytes, text_key)
 
 WINDOW = 10
 GRAM = 6
-FILTER_BITS = 23
 
 
 def word_hashes(text: bytes, memo) -> np.ndarray:
@@ -61,14 +61,6 @@ def window_hash(words: np.ndarray, starts: np.ndarray, window: int) -> list[byte
     return [r.tobytes() for r in both]
 
 
-def filter_slot(prints: np.ndarray) -> np.ndarray:
-    return (prints >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _signed(prints: np.ndarray) -> pa.Array:
-    return pa.array(prints.view(np.int64))
-
-
 def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """item_id, len, fp, win: every window of every item."""
     rows = items.select(F.col(id_col).alias("item_id"), F.coalesce(text_bytes(text_col), F.lit(b"")).alias("t"))
@@ -89,33 +81,21 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 wins += window_hash(w, np.arange(len(fp)), k)
             if ids:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, b.schema.field(0).type), pa.array(lens, pa.int32()), _signed(np.concatenate(fps)),
+                    [pa.array(ids, b.schema.field(0).type), pa.array(lens, pa.int32()), pa.array(np.concatenate(fps).view(np.int64)),
                      pa.array(wins, pa.binary())], names=["item_id", "len", "fp", "win"])
 
     return rows.mapInArrow(run, f"item_id {rows.schema['item_id'].dataType.simpleString()}, len int, fp bigint, win binary")
 
 
-def fingerprint_filter(windows: DataFrame) -> tuple[bytes, list[int]]:
-    """The bitmap of fingerprints, at most 2^23 bits however many there are, and the window lengths that occur."""
-    slot = F.shiftrightunsigned("fp", 64 - FILTER_BITS)
-    slots = windows.select("len", slot.alias("s")).distinct().groupBy(F.shiftright("s", 12).alias("page")).agg(
-        F.collect_set((F.col("s") % 4096).cast("int")).alias("at"))
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for r in slots.collect():  # at most 2^11 rows of 2^12 numbers
-        bits[r["page"] * 4096 + np.array(r["at"], np.int64)] = True
-    lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())  # at most ten
-    return np.packbits(bits).tobytes(), lengths
-
-
 def document_windows(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, lengths: list[int]) -> DataFrame:
     """One row per document: row_id, doc_id, n_words and the windows that pass the bitmap."""
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"),
-                       F.coalesce(text_bytes(text_col), F.lit(b"")).alias("t"))
+                       F.coalesce(text_bytes(text_col), F.lit(b"")).alias("t"), text_key(text_col).alias("text_key"))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # 2^20 bytes
     hit_type = pa.list_(pa.struct([("start", pa.int32()), ("len", pa.int32()), ("fp", pa.int64()), ("win", pa.binary())]))
 
     def run(it):
-        memo, bits = hash_memo(), np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        memo, passes = hash_memo(), SlotFilter(shared.value)
         for b in batches(it, 1024):
             n, hits = [], []
             for t in b.column(2).to_pylist():
@@ -124,16 +104,16 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes,
                 found = []
                 for k in lengths:
                     fp = fingerprints(w, k)
-                    at = np.flatnonzero(bits[filter_slot(fp)])
+                    at = np.flatnonzero(passes(fp))
                     if len(at):
                         found += [{"start": s, "len": k, "fp": f, "win": h} for s, f, h in
                                   zip(at.tolist(), fp[at].view(np.int64).tolist(), window_hash(w, at, k))]
                 hits.append(found or None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(hits, hit_type)],
-                                             names=["row_id", "doc_id", "n_words", "hits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(n, pa.int64()), pa.array(hits, hit_type)],
+                                             names=["row_id", "doc_id", "text_key", "n_words", "hits"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row_id bigint, doc_id {id_type}, n_words bigint, "
+    return rows.mapInArrow(run, f"row_id bigint, doc_id {id_type}, text_key string, n_words bigint, "
                                 "hits array<struct<start:int,len:int,fp:bigint,win:binary>>")
 
 
@@ -149,7 +129,8 @@ def hit_report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     windows = stage_table(spark, item_windows(benchmark, item_id_col, item_text_col), "benchmark-windows")
-    bitmap, lengths = fingerprint_filter(windows)
+    bitmap = slot_filter(windows, "fp")
+    lengths = sorted(r["len"] for r in windows.select("len").distinct().collect())  # at most ten
     # staged: the windows are read twice below and row ids must stay the same
     found = stage_table(spark, document_windows(docs, id_col, text_col, bitmap, lengths), "document-windows")
     cand = found.where("hits IS NOT NULL").select("row_id", F.explode("hits").alias("h")).select("row_id", "h.*")
@@ -168,4 +149,13 @@ def hit_report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "row_id")
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "text_key")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                      item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents without a benchmark window, with all their columns."""
+    report = hit_report(docs, benchmark, id_col=id_col, text_col=text_col, item_id_col=item_id_col, item_text_col=item_text_col)
+    bad = report.where("contaminated").select(F.col("text_key").alias("__key")).distinct()
+    keyed = docs.select(F.struct("*").alias("__row"), text_key(text_col).alias("__key"))
+    return keyed.join(bad, "__key", "left_anti").select("__row.*")

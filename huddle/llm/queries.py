@@ -22,6 +22,11 @@ def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_docs(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op2_min_max_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import dedup
+    return dedup.near_duplicates(_docs(spark, sf_dir)).drop("text_key", "cid", "keeps_class")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import secret_scan
     return secret_scan.scan_documents(_docs(spark, sf_dir))
@@ -41,7 +46,7 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import decontam
-    return decontam.hit_report(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("row_id")
+    return decontam.hit_report(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 def op7_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
