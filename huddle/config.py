@@ -53,10 +53,8 @@ class JobConfig:
     latest_among: str = "all"
     # "state": alphabetically first matching box; "smallest_area": tightest box.
     region_tie: str = "state"
-    # Box lists up to this size are broadcast; larger ones use a grid join.
-    geo_broadcast_max_boxes: int = 100_000
-    # Grid cell size (degrees) of the non-broadcast geo join.
-    geo_cell_degrees: float = 1.0
+    # Check the published tables at the end of a run and fail it on a finding.
+    quality_gate: bool = True
 
     def with_(self, **kw) -> "JobConfig":
         return replace(self, **kw)

@@ -17,12 +17,9 @@ def as_ts(c: str | Column) -> Column:
 
 
 def rsvp_label(status: str | Column = "rsvp_status") -> Column:
-    """0 unanswered, 1 accepted, 2 declined; anything else, NULL included, 'n/a'."""
-    s = col(status)
-    e = F.when(s == 0, F.lit(RSVP_LABELS[0]))
-    for code in (1, 2):
-        e = e.when(s == code, F.lit(RSVP_LABELS[code]))
-    return e.otherwise(F.lit(RSVP_LABEL_OTHER))
+    """The label of a status; anything that has none, NULL included, is 'n/a'."""
+    labels = F.create_map(*[F.lit(x) for pair in RSVP_LABELS.items() for x in pair])
+    return F.coalesce(F.try_element_at(labels, col(status)), F.lit(RSVP_LABEL_OTHER))
 
 
 def has_location(lat: str | Column = "latitude", lng: str | Column = "longitude") -> Column:
@@ -66,8 +63,3 @@ def month_start(c: str | Column) -> Column:
 
 def to_date(c: str | Column) -> Column:
     return F.to_date(as_ts(c))
-
-
-def ntz(c: str | Column) -> Column:
-    """TIMESTAMP -> TIMESTAMP_NTZ wall clock in the session zone (UTC)."""
-    return col(c).cast("timestamp_ntz")

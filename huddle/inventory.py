@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property, partial, reduce
+from functools import cache, cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,12 +20,13 @@ from huddle import adapter, schemas
 from huddle.config import JobConfig
 from huddle.functions import exprs as X
 from huddle.operators import geo as G, keys as K, schema as S, sinks
-from huddle.plans import clean, dims, facts, maintenance, metrics, quality, raw
+from huddle.plans import batch, clean, dims, facts, maintenance, metrics, quality, raw
 from huddle.session import prepare, scratch_path
 from huddle.sources import catalog, files
 
-# Fixed probe window of the test fixtures, and derived dates used below.
-PROBE_CFG = JobConfig(start_date="2024-01-01", end_date="2024-02-15")
+# The probes read all dated rows of the fixtures; RANGE_CFG is for operators whose feature is a date range.
+PROBE_CFG = JobConfig(start_date="2023-12-22")
+RANGE_CFG = JobConfig(start_date="2024-01-01", end_date="2024-02-15")
 PROBE_DAY = "2024-01-15"
 OVERWRITE_DAY = "2024-01-10"
 LOOKUP_DAY = "2024-01-30"
@@ -195,7 +196,7 @@ def sch_cast(spark, sf):
     return out(S.cast_to_schema(strings, schemas.EVENT_RSVPS))
 
 
-GATE_CASES = ("exact", "extra", "reordered", "missing")
+GATE_CASES = ("exact", "extra", "reordered", "missing", "wrong_type")
 
 
 def _gate_variant(df: DataFrame, case: str) -> DataFrame:
@@ -205,6 +206,8 @@ def _gate_variant(df: DataFrame, case: str) -> DataFrame:
         return df.select(*reversed(df.columns))
     if case == "missing":
         return df.drop(df.columns[-1])
+    if case == "wrong_type":
+        return df.withColumn(df.columns[-1], F.col(df.columns[-1]).cast("string"))
     return df
 
 
@@ -331,24 +334,37 @@ def prj_rename(spark, sf):
 
 @probe("prj_dim")
 def prj_dim(spark, sf):
-    return out(chain(spark, sf).d_events)
+    """Every dimension's column list, with the rows and distinct keys it publishes."""
+    c = chain(spark, sf)
+    parts = [getattr(c, name).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("keys"))
+             .select(F.lit(name).alias("dim"), F.lit(", ".join(cols)).alias("columns"), "rows", "keys")
+             for name, (_, key, cols) in dims.DIMS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @probe("prj_fact")
 def prj_fact(spark, sf):
-    return out(chain(spark, sf).f_rsvps)
+    """The fact's projection of every valid clean answer, without the run window."""
+    c = chain(spark, sf)
+    return out(facts.fct_event_rsvps(c.clean_rsvps, RANGE_CFG, audit=False, window=False))
 
 
 @probe("prj_drop")
 def prj_drop(spark, sf):
-    return out(chain(spark, sf).clean_membership)
+    """Clean events without their check columns."""
+    return out(chain(spark, sf).clean_events.drop("is_valid_team_id", "is_valid_timestamps", "validation_error"))
 
 
 @probe("prj_star_sql")
 def prj_star_sql(spark, sf):
+    """A star query in SQL over the published frames: answers per country, region and role."""
     c = chain(spark, sf)
-    names = {k: c.temp_view(getattr(c, k), k) for k in ("d_events", "d_teams", "geo", "f_rsvps")}
-    return out(facts.fct_events_enriched_sql(spark, **names))
+    wide, events = c.temp_view(c.wide, "wide"), c.temp_view(c.enriched, "enriched")
+    return out(spark.sql(f"""
+        SELECT w.country_code, ev.region, w.role_title, count(*) AS answers,
+               count(DISTINCT w.event_id) AS events, count_if(w.rsvp_status = 1) AS accepted
+        FROM {wide} w LEFT JOIN {events} ev USING (event_id)
+        GROUP BY w.country_code, ev.region, w.role_title"""))
 
 
 @probe("prj_audit")
@@ -373,7 +389,7 @@ def prj_transform(spark, sf):
 @probe("flt_date_range")
 def flt_date_range(spark, sf):
     c = chain(spark, sf)
-    return out(catalog.window_filter(c.raw("event_rsvps"), PROBE_CFG))
+    return out(catalog.window_filter(c.raw("event_rsvps"), RANGE_CFG))
 
 
 @probe("flt_pk_not_null")
@@ -444,15 +460,15 @@ def flt_cast_date_eq(spark, sf):
 
 @probe("flt_point_lookup")
 def flt_point_lookup(spark, sf):
-    """Every (event, member) pair's answers looked up by equality on both ids:
-    a semi-join of the answers on the pairs answered more than once."""
+    """One pair's answers, by equality on both ids (pushed to the scan). The pair is
+    the smallest with the most answers, so the probe holds on any data."""
     c = chain(spark, sf)
-    r = c.clean_rsvps
-    pairs = (r.groupBy("event_id", "membership_id").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1).drop("n"))
-    return out(r.join(pairs, ["event_id", "membership_id"], "left_semi")
-               .select("event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at",
-                       "is_latest_response"))
+    raw = c.raw("event_rsvps")
+    pair = (raw.groupBy("event_id", "membership_id").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "event_id", "membership_id").first())
+    want = (F.lit(pair["event_id"]), F.lit(pair["membership_id"])) if pair else (F.lit(None), F.lit(None))
+    return out(raw.where((F.col("event_id") == want[0]) & (F.col("membership_id") == want[1]))
+               .select("event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at"))
 
 
 # --------------------------------------------------------------------------
@@ -588,21 +604,27 @@ def agg_error_breakdown(spark, sf):
 @probe("agg_group_by_all")
 def agg_group_by_all(spark, sf):
     c = chain(spark, sf)
-    v = c.temp_view(c.clean_rsvps, "clean_events_rsvps")
-    return spark.sql(f"SELECT is_valid_record, is_latest_response, count(*) AS n FROM {v} GROUP BY ALL")
+    v, t = c.temp_view(c.clean_rsvps, "clean_events_rsvps"), c.temp_view(c.clean_teams, "clean_teams")
+    by_flags = spark.sql(f"SELECT 'flags' AS kind, CAST(is_valid_record AS STRING) AS a, "
+                         f"CAST(is_latest_response AS STRING) AS b, count(*) AS n FROM {v} GROUP BY ALL")
+    every = spark.sql(f"SELECT 'team' AS kind, a, b, n FROM (SELECT *, count(*) AS n FROM "
+                      f"(SELECT country_code AS a, team_activity AS b FROM {t}) GROUP BY ALL)")
+    return by_flags.unionByName(every)
 
 
 @probe("agg_multi_key")
 def agg_multi_key(spark, sf):
-    e = chain(spark, sf).enriched
-    return out(e.groupBy("country_code", "region", "event_date", "team_activity")
-               .agg(F.count(F.lit(1)).alias("n")))
+    """Events and boxes by the location and box columns that a region check looks at."""
+    c = chain(spark, sf)
+    keys = ["event_id", "team_id", "country_code", "state", "latitude", "min_lat", "max_lat", "longitude", "min_lng", "max_lng"]
+    m = G.box_matches(facts.events_with_teams(c.d_events, c.d_teams), c.geo)
+    return out(m.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
 
 @probe("agg_daily_distinct")
 def agg_daily_distinct(spark, sf):
-    f = chain(spark, sf).f_rsvps
-    return out(f.groupBy("p_date").agg(F.countDistinct("membership_id").alias("members")))
+    e = chain(spark, sf).enriched
+    return out(e.groupBy("event_date").agg(F.countDistinct("team_id").alias("teams")))
 
 
 # --------------------------------------------------------------------------
@@ -619,7 +641,7 @@ def win_latest(spark, sf):
 def win_region_pick(spark, sf):
     c = chain(spark, sf)
     et = c.d_events.join(c.d_teams.select("team_id", "country_code"), "team_id", "inner")
-    return out(G.with_region(et, c.geo, "event_id").select("event_id", "region"))
+    return out(G.with_region(et, c.geo).select("event_id", "region"))
 
 
 # --------------------------------------------------------------------------
@@ -729,8 +751,8 @@ def fn_duration_minutes(spark, sf):
 def fn_between(spark, sf):
     e = chain(spark, sf).raw("events")
     return e.select("event_id", F.col("latitude").between(35.0, 50.0).alias("in_band"),
-                    F.col("p_date").between(F.lit(PROBE_CFG.start_date).cast("date"),
-                                            F.lit(PROBE_CFG.end_date).cast("date")).alias("in_window"))
+                    F.col("p_date").between(F.lit(RANGE_CFG.start_date).cast("date"),
+                                            F.lit(RANGE_CFG.end_date).cast("date")).alias("in_window"))
 
 
 @probe("fn_round_decimal")
@@ -856,42 +878,57 @@ def dq_count_parity(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@cache
+def _published(app: str, sf: str) -> batch.Warehouse:
+    """One run of the whole chain into stored tables and views, shared by the checks that read those."""
+    spark = SparkSession.getActiveSession()
+    src = {e: adapter.raw(spark, sf, e, p_date=False) for e in schemas.ENTITIES}
+    return batch.run_batch(spark, PROBE_CFG, src, adapter.geo_boxes(spark, sf), root=scratch_path(spark, "published"))
+
+
+def published(spark: SparkSession, sf: str) -> batch.Warehouse:
+    wh = _published(prepare(spark).sparkContext.applicationId, sf)
+    batch.publish_views(wh)
+    return wh
+
+
 @probe("dq_layer_parity")
 def dq_layer_parity(spark, sf):
-    c = chain(spark, sf)
+    """Counts of stored layers: every table is written once and counted as it is."""
+    wh = published(spark, sf)
+    t = {n: wh.read("clean", f"clean_{n}") for n in ("teams", "membership", "events", "events_rsvps")}
     return quality.count_union([
-        ("raw_events_rsvps", c.raw("event_rsvps")), ("clean_events_rsvps", c.clean_rsvps),
-        ("clean_teams_valid", clean.valid_rows(c.clean_teams)), ("d_teams", c.d_teams),
-        ("clean_membership_valid", clean.valid_rows(c.clean_membership)), ("d_membership", c.d_membership),
-        ("clean_events_valid", clean.valid_rows(c.clean_events)), ("d_events", c.d_events),
-        ("f_events_enriched", c.enriched),
+        ("raw_events_rsvps", wh.read("raw", "raw_events_rsvps")), ("clean_events_rsvps", t["events_rsvps"]),
+        ("clean_teams_valid", clean.valid_rows(t["teams"])), ("d_teams", wh.read("analytics", "d_teams")),
+        ("clean_membership_valid", clean.valid_rows(t["membership"])), ("d_membership", wh.read("analytics", "d_membership")),
+        ("clean_events_valid", clean.valid_rows(t["events"])), ("d_events", wh.read("analytics", "d_events")),
+        ("f_events_enriched", wh.read("analytics", "f_events_enriched")),
     ])
 
 
-@probe("dq_queryable")
-def dq_queryable(spark, sf):
-    c = chain(spark, sf)
-    parts = [quality.queryable(getattr(c, n), f"v_{n}") for n in ("d_teams", "d_membership", "d_events",
-                                                                  "f_rsvps", "enriched")]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def published_views(wh: batch.Warehouse) -> dict[str, str]:
+    return {n: wh.view_name(n) for n in quality.PUBLISHED}
 
 
-WIDE_REQUIRED = ["event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "event_start",
-                 "event_end", "event_duration_minutes", "team_id", "country_code", "role_title", "p_date"]
+@probe("dq_queryable")
+def dq_queryable(spark, sf):
+    views = published_views(published(spark, sf)) | {"v_not_there": f"v_not_there_{uuid.uuid4().hex[:8]}"}
+    return quality.queryable(spark, views)
 
 
 @probe("dq_required_columns")
 def dq_required_columns(spark, sf):
-    c = chain(spark, sf)
-    return (quality.required_columns(c.d_teams, "v_d_teams", schemas.D_TEAMS)
-            .unionByName(quality.required_columns(c.wide, "v_f_events_rsvps", WIDE_REQUIRED)))
+    views = published_views(published(spark, sf))
+    return reduce(DataFrame.unionByName, [quality.required_columns(spark.table(v), n, quality.PUBLISHED[n][0])
+                                          for n, v in views.items()])
 
 
 @probe("dq_not_null")
 def dq_not_null(spark, sf):
-    c = chain(spark, sf)
-    return (quality.not_null(c.wide, "v_f_events_rsvps", ["event_rsvp_id", "event_start", "event_end", "p_date"])
-            .unionByName(quality.not_null(c.d_teams, "v_d_teams", ["team_id"])))
+    views = published_views(published(spark, sf))
+    checks = {"v_f_events_rsvps": ["event_rsvp_id", "event_start", "event_end", "etl_created_date", "p_date"],
+              "v_d_teams": ["team_id"]}
+    return reduce(DataFrame.unionByName, [quality.not_null(spark.table(views[n]), n, cols) for n, cols in checks.items()])
 
 
 @probe("dq_accepted_values")
@@ -924,7 +961,7 @@ def met_rsvp_summary(spark, sf):
 
 @probe("met_attendance_30d")
 def met_attendance_30d(spark, sf):
-    return out(metrics.met_attendance_30d(chain(spark, sf).f_rsvps, PROBE_CFG.end_date))
+    return out(metrics.met_attendance_30d(chain(spark, sf).f_rsvps, RANGE_CFG.end_date))
 
 
 @probe("met_new_vs_returning")

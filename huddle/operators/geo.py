@@ -5,110 +5,75 @@ Among several matching boxes the winner is the alphabetically first state
 (NULL state first, as an ascending sort puts it), or the smallest box with
 ``tie="smallest_area"``.
 
-Two physical forms with the same result:
-
-* broadcast form (box table of checked, bounded size): boxes are gathered per
-  country into one array, broadcast, and the winner is picked per row with
-  array functions. Events are never shuffled for the lookup.
-* grid form (box table above the bound): boxes are exploded to the grid cells
-  they cover, points join on (country, cell) with the range test as a residual,
-  and the winner per point is a map-side-combined ``min`` aggregate.
+One physical form at every size: boxes are listed per (country, grid cell), a
+table with one row per cell, and points look their cell up with a left equi-join.
+Rows are kept as they are (no id is needed, repeated and NULL ids are fine), the
+winner is picked per row with array functions, adaptive execution broadcasts the
+cell table when its measured size is small and splits hot cells otherwise. The
+cell side follows the boxes' mean extent, so a box covers few cells.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+EDGES = ("min_lat", "max_lat", "min_lng", "max_lng")
 
-def _tie_key(state: Column, min_lat: Column, max_lat: Column, min_lng: Column,
-             max_lng: Column, tie: str) -> Column:
+
+def _tie_key(b: Column, tie: str) -> Column:
     # struct compared ascending; FALSE < TRUE puts a NULL state first
+    named = [b["state"].isNotNull().alias("n"), b["state"].alias("state")]
     if tie == "smallest_area":
-        area = (max_lat - min_lat) * (max_lng - min_lng)
-        return F.struct(area.alias("a"), state.isNotNull().alias("n"), state.alias("state"))
+        area = (b["max_lat"] - b["min_lat"]) * (b["max_lng"] - b["min_lng"])
+        return F.struct(area.alias("a"), *named)
     if tie != "state":
         raise ValueError(f"unknown tie rule {tie!r}")
-    return F.struct(state.isNotNull().alias("n"), state.alias("state"))
+    return F.struct(*named)
+
+
+def cell_side(boxes: DataFrame) -> Column:
+    """Side of a grid cell in degrees: the mean larger extent of the boxes, 1 at least (a scalar subquery)."""
+    extent = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lng") - F.col("min_lng"))
+    return boxes.agg(F.greatest(F.lit(1.0), F.coalesce(F.avg(extent), F.lit(1.0))).alias("side")).scalar()
 
 
-def box_count(boxes: DataFrame) -> int:
-    return boxes.count()
+def box_cells(boxes: DataFrame, side: Column) -> DataFrame:
+    """(country, cell row, cell column) -> the boxes that reach into the cell."""
+    def cells(lo: str, hi: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(lo) / F.col("__side")), F.floor(F.col(hi) / F.col("__side"))))
 
+    b = boxes.where(F.col("country_code").isNotNull() & (F.col("min_lat") <= F.col("max_lat"))
+                    & (F.col("min_lng") <= F.col("max_lng"))).withColumn("__side", side)
+    return (b.withColumn("__cy", cells("min_lat", "max_lat")).withColumn("__cx", cells("min_lng", "max_lng"))
+            .groupBy(F.col("country_code").alias("__geo_cc"), "__cy", "__cx")
+            .agg(F.collect_list(F.struct("state", *EDGES)).alias("__boxes")))
 
-def with_region_broadcast(points: DataFrame, boxes: DataFrame, *, country: str = "country_code",
-                          lat: str = "latitude", lng: str = "longitude",
-                          has_loc: str | Column | None = "has_location", out: str = "region",
-                          tie: str = "state") -> DataFrame:
-    per_country = (boxes.where(F.col("country_code").isNotNull())
-                   .groupBy(F.col("country_code").alias("__geo_cc"))
-                   .agg(F.collect_list(F.struct("state", "min_lat", "max_lat", "min_lng", "max_lng"))
-                        .alias("__boxes")))
+
+def _with_hits(points: DataFrame, boxes: DataFrame, country: str, lat: str, lng: str,
+               has_loc: str | Column | None) -> DataFrame:
+    """Every point with the array of its matching boxes in ``__hits`` (NULL or empty: none)."""
+    side = cell_side(boxes)
+    grid = box_cells(boxes, side).withColumnsRenamed({"__cy": "__by", "__cx": "__bx"})
+    p = points.withColumns({"__py": F.floor(F.col(lat) / side), "__px": F.floor(F.col(lng) / side)})
+    j = p.join(grid, (F.col(country) == F.col("__geo_cc")) & (F.col("__py") == F.col("__by"))
+               & (F.col("__px") == F.col("__bx")), "left")
     la, lo = F.col(lat), F.col(lng)
-    hits = F.filter("__boxes", lambda b: la.between(b["min_lat"], b["max_lat"])
-                    & lo.between(b["min_lng"], b["max_lng"]))
-    best = F.array_min(F.transform(hits, lambda b: _tie_key(
-        b["state"], b["min_lat"], b["max_lat"], b["min_lng"], b["max_lng"], tie)))
-    region = best["state"]
-    if has_loc is not None:
-        gate = F.col(has_loc) if isinstance(has_loc, str) else has_loc
-        region = F.when(gate, region)
-    return (points.join(F.broadcast(per_country), F.col(country) == F.col("__geo_cc"), "left")
-                  .withColumn(out, region)
-                  .drop("__geo_cc", "__boxes"))
-
-
-def with_region_grid(points: DataFrame, boxes: DataFrame, id_col: str, *, country: str = "country_code",
-                     lat: str = "latitude", lng: str = "longitude",
-                     has_loc: str | Column | None = "has_location", out: str = "region",
-                     tie: str = "state", cell: float = 1.0) -> DataFrame:
-    c = F.lit(float(cell))
-    cells = (boxes.where(F.col("country_code").isNotNull()
-                         & (F.col("min_lat") <= F.col("max_lat")) & (F.col("min_lng") <= F.col("max_lng")))
-             .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("min_lat") / c), F.floor(F.col("max_lat") / c))))
-             .withColumn("__cx", F.explode(F.sequence(F.floor(F.col("min_lng") / c), F.floor(F.col("max_lng") / c))))
-             .select(F.col("country_code").alias("__geo_cc"), "__cy", "__cx", "state",
-                     "min_lat", "max_lat", "min_lng", "max_lng"))
-    p = points.select(F.col(id_col).alias("__pid"), F.col(country).alias("__pcc"),
-                      F.col(lat).alias("__plat"), F.col(lng).alias("__plng"),
-                      (F.col(has_loc) if isinstance(has_loc, str) else (has_loc if has_loc is not None else F.lit(True))).alias("__ploc"))
-    p = p.where(F.col("__ploc") & F.col("__pcc").isNotNull()) \
-         .withColumn("__cy", F.floor(F.col("__plat") / c)).withColumn("__cx", F.floor(F.col("__plng") / c))
-    m = p.join(cells, (F.col("__pcc") == F.col("__geo_cc")) & (p["__cy"] == cells["__cy"])
-               & (p["__cx"] == cells["__cx"])
-               & F.col("__plat").between(F.col("min_lat"), F.col("max_lat"))
-               & F.col("__plng").between(F.col("min_lng"), F.col("max_lng")), "inner")
-    best = (m.groupBy("__pid")
-             .agg(F.min(_tie_key(F.col("state"), F.col("min_lat"), F.col("max_lat"),
-                                 F.col("min_lng"), F.col("max_lng"), tie)).alias("__best"))
-             .select("__pid", F.col("__best.state").alias(out)))
-    return points.join(best, F.col(id_col) == F.col("__pid"), "left").drop("__pid")
-
-
-def with_region(points: DataFrame, boxes: DataFrame, id_col: str, *, max_broadcast: int = 100_000,
-                cell: float = 1.0, n_boxes: int | None = None, **kw) -> DataFrame:
-    """Pick the physical form from the measured box count (a tiny aggregate)."""
-    n = box_count(boxes) if n_boxes is None else n_boxes
-    if n <= max_broadcast:
-        return with_region_broadcast(points, boxes, **kw)
-    return with_region_grid(points, boxes, id_col, cell=cell, **kw)
-
-
-def box_matches(points: DataFrame, boxes: DataFrame, *, country: str = "country_code",
-                lat: str = "latitude", lng: str = "longitude",
-                has_loc: str | None = "has_location", max_broadcast: int = 100_000,
-                n_boxes: int | None = None) -> DataFrame:
-    """Every matching box per point (left join: no match keeps the point with
-    NULL box columns). The box side is broadcast when its measured count is
-    within ``max_broadcast``; otherwise the planner joins on the country key
-    with the range test as a residual."""
-    b = boxes.select(F.col("country_code").alias("__geo_cc"), "state", "min_lat", "max_lat",
-                     "min_lng", "max_lng")
-    n = box_count(boxes) if n_boxes is None else n_boxes
-    if n <= max_broadcast:
-        b = F.broadcast(b)
-    cond = ((F.col(country) == F.col("__geo_cc"))
-            & F.col(lat).between(F.col("min_lat"), F.col("max_lat"))
-            & F.col(lng).between(F.col("min_lng"), F.col("max_lng")))
+    hits = F.filter("__boxes", lambda b: la.between(b["min_lat"], b["max_lat"]) & lo.between(b["min_lng"], b["max_lng"]))
     if has_loc is not None:
-        cond = (F.col(has_loc) == F.lit(True)) & cond
-    return points.join(b, cond, "left").drop("__geo_cc")
+        hits = F.when(F.col(has_loc) if isinstance(has_loc, str) else has_loc, hits)
+    return j.withColumn("__hits", hits).drop("__geo_cc", "__by", "__bx", "__py", "__px", "__boxes")
+
+
+def with_region(points: DataFrame, boxes: DataFrame, *, country: str = "country_code", lat: str = "latitude",
+                lng: str = "longitude", has_loc: str | Column | None = "has_location", out: str = "region",
+                tie: str = "state") -> DataFrame:
+    """Every point row with its region (NULL without a matching box)."""
+    best = F.array_min(F.transform("__hits", lambda b: _tie_key(b, tie)))
+    return _with_hits(points, boxes, country, lat, lng, has_loc).withColumn(out, best["state"]).drop("__hits")
+
+
+def box_matches(points: DataFrame, boxes: DataFrame, *, country: str = "country_code", lat: str = "latitude",
+                lng: str = "longitude", has_loc: str | None = "has_location") -> DataFrame:
+    """Every matching box per point; a point without one is kept with NULL box columns."""
+    hits = _with_hits(points, boxes, country, lat, lng, has_loc).withColumn("__b", F.explode_outer("__hits"))
+    return hits.select(*points.columns, *[F.col(f"__b.{c}").alias(c) for c in ("state", *EDGES)])

@@ -1,15 +1,16 @@
 """Key operators: survivor per key, FK existence flags, orphans, latest flag.
 
-All survivor choices are aggregations (``min`` over an order-encoding struct)
-rather than windows: the aggregate combines rows map-side before the shuffle, so
-a key that holds a large share of the rows never lands whole in one task.
+The survivor of a key is ``row_number() = 1``, which Spark plans as a group limit
+on both sides of the shuffle: each task sends at most one row per key, so a key
+that holds a large share of the rows never lands whole in one task, and every
+column is carried once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -28,37 +29,24 @@ def desc(c: str, nulls_last: bool = True) -> Order:
     return Order(c, False, nulls_last)
 
 
-def _descending_value(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return -F.unix_date(c)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                          T.FloatType, T.DoubleType, T.DecimalType)):
-        return -c.cast("long") if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)) else -c
-    raise TypeError(f"descending order on {dtype.simpleString()} is not supported")
-
-
-def order_key(df: DataFrame, order: list[Order]) -> list[Column]:
-    """Struct fields whose ascending comparison equals the requested order."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = []
-    for i, o in enumerate(order):
+def sort_columns(order: list[Order]) -> list[Column]:
+    out = []
+    for o in order:
         c = F.col(o.column)
-        # False sorts before True: nulls_last -> isNull flag, nulls_first -> isNotNull flag
-        fields.append((c.isNull() if o.nulls_last else c.isNotNull()).alias(f"n{i}"))
-        fields.append((c if o.asc else _descending_value(c, types[o.column])).alias(f"v{i}"))
-    return fields
+        if o.asc:
+            out.append(c.asc_nulls_last() if o.nulls_last else c.asc_nulls_first())
+        else:
+            out.append(c.desc_nulls_last() if o.nulls_last else c.desc_nulls_first())
+    return out
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Order]) -> DataFrame:
     """Exactly one row per key: the first in ``order``; remaining ties are broken
     by the whole row, so the survivor is repeatable. Column order is kept."""
-    payload = [c for c in df.columns if c not in keys]
-    if not payload:
-        return df.select(*keys).distinct()
-    best = F.min(F.struct(*order_key(df, order), F.struct(*payload).alias("row"))).alias("__best")
-    return df.groupBy(*keys).agg(best).select(*keys, "__best.row.*").select(*df.columns)
+    named = {o.column for o in order} | set(keys)
+    ties = [asc(c) for c in df.columns if c not in named]
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(order + ties))
+    return df.withColumn("__first", F.row_number().over(w)).where(F.col("__first") == 1).drop("__first")
 
 
 def dedupe_by_key(df: DataFrame, key: str, order: list[Order] | None = None) -> DataFrame:
@@ -97,16 +85,15 @@ def latest_flag(df: DataFrame, group: list[str], order: list[Order], id_col: str
                 name: str = "is_latest_response", among: Column | None = None) -> DataFrame:
     """TRUE on the first row per group in ``order`` (then ``id_col`` ascending).
 
-    Computed as a per-group aggregate of the winning id, joined back on the
-    unique ``id_col``: the aggregate is combined map-side, and the join key is
-    unique, so no group is ever sorted whole in one task. Rows outside ``among``
-    never win and get FALSE.
+    The winner of a group is picked on the narrow order columns (a group limit on
+    both sides of the shuffle, so no group is gathered whole) and joined back on
+    the unique ``id_col``, by which the rows are usually partitioned already. Rows
+    outside ``among`` never win and get FALSE.
     """
     cand = df if among is None else df.where(among)
     full = order + [asc(id_col)]
-    winners = (cand.groupBy(*group)
-                   .agg(F.min(F.struct(*order_key(cand, full))).alias("__w"))
-                   .select(F.col(f"__w.v{len(full) - 1}").alias("__winner")))
+    narrow = cand.select(*dict.fromkeys([*group, *(o.column for o in full)]))
+    winners = first_per_key(narrow, group, full).select(F.col(id_col).alias("__winner"))
     return (df.join(winners, F.col(id_col) == F.col("__winner"), "left")
               .withColumn(name, F.col("__winner").isNotNull())
               .drop("__winner"))
@@ -114,8 +101,6 @@ def latest_flag(df: DataFrame, group: list[str], order: list[Order], id_col: str
 
 def rank_one(df: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:
     """Keep the first row per partition (``row_number() = 1``; planned as a
-    WindowGroupLimit). Only for groups of bounded size, such as the boxes that
-    match one point; use ``first_per_key`` where a group can be large."""
-    from pyspark.sql import Window
+    WindowGroupLimit on both sides of the shuffle)."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")

@@ -4,6 +4,9 @@ views. A *target* is a catalog table name, or a path when it contains '/'.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from huddle.session import scratch_path
@@ -13,18 +16,49 @@ def is_path(target: str) -> bool:
     return "/" in target or target.startswith(("file:", "s3", "gs:", "abfs", "hdfs:"))
 
 
-def read_target(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(target) if is_path(target) else spark.table(target)
+def read_target(spark: SparkSession, target: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """The stored table. A path table that holds no file yet is read with its declared ``schema``."""
+    if not is_path(target):
+        return spark.table(target)
+    try:
+        return spark.read.format(fmt).load(target)
+    except AnalysisException as e:
+        if schema and e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.read.format(fmt).schema(schema).load(target)
+        raise
 
 
 def target_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> bool:
+    """Whether the table is there. Only a path that is not found means absent; any
+    other failure (permissions, a damaged file, a store that cannot be reached) is
+    raised, so that nothing is ever overwritten because it could not be read."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
     try:
-        spark.read.format(fmt).load(target).schema  # noqa: B018 - listing only
+        spark.read.format(fmt).load(target)
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # the folder is there without data files
+            return True
+        raise
+
+
+def drop_partitions(spark: SparkSession, target: str, column: str, values: list) -> None:
+    """Remove whole partitions: in the catalog, or by their folders. None names the NULL partition of a path table."""
+    if not is_path(target):
+        for v in values:
+            if v is not None:
+                spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = DATE '{v}')")
+        spark.catalog.refreshTable(target)
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in values:
+        fs.delete(path(f"{target}/{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"), True)
+    spark.catalog.refreshByPath(target)
 
 
 def write_table(df: DataFrame, target: str, *, partition_by: str | list[str] | None = None,
@@ -109,6 +143,19 @@ def upsert_frame(target: DataFrame, source: DataFrame, key: str,
     return j.select(*out)
 
 
+def ddl(df: DataFrame) -> str:
+    """The schema as a DDL string, for reads that must not infer one."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def merge_sql(target: str, source_view: str, columns: list[str], key: str, created_col: str) -> str:
+    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c != created_col)
+    return (f"MERGE INTO {target} t USING {source_view} s ON t.{key} = s.{key} "
+            f"WHEN MATCHED THEN UPDATE SET {sets} "
+            f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) "
+            f"VALUES ({', '.join('s.' + c for c in columns)})")
+
+
 def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
            created_col: str = "etl_created_date", fmt: str = "parquet",
            partition_by: str | None = None) -> None:
@@ -123,19 +170,14 @@ def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
         write_table(source, target, partition_by=partition_by, fmt=fmt)
         return
     if fmt in ("delta", "iceberg") and not is_path(target):
-        view = f"__upsert_src_{abs(hash(target)) % 10**8}"
+        view = f"__upsert_src_{uuid.uuid4().hex}"
         source.createOrReplaceTempView(view)
-        cols = source.columns
-        sets = ", ".join(f"t.{c} = s.{c}" for c in cols if c != created_col)
-        spark.sql(f"MERGE INTO {target} t USING {view} s ON t.{key} = s.{key} "
-                  f"WHEN MATCHED THEN UPDATE SET {sets} "
-                  f"WHEN NOT MATCHED THEN INSERT ({', '.join(cols)}) "
-                  f"VALUES ({', '.join('s.' + c for c in cols)})")
+        spark.sql(merge_sql(target, view, source.columns, key, created_col))
         return
-    merged = upsert_frame(read_target(spark, target, fmt), source, key, created_col)
+    merged = upsert_frame(read_target(spark, target, fmt, ddl(source)), source, key, created_col)
     stage = scratch_path(spark, "upsert-stage")
     write_table(merged, stage, partition_by=partition_by, fmt=fmt)
-    staged = spark.read.format(fmt).load(stage)
+    staged = read_target(spark, stage, fmt, ddl(source))
     write_table(staged, target, partition_by=partition_by, fmt=fmt)
 
 

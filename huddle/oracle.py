@@ -8,8 +8,9 @@ after rounding, counts and sums cast to BIGINT.
 
 from __future__ import annotations
 
-W_START, W_END = "DATE '2024-01-01'", "DATE '2024-02-15'"
-IN_WINDOW = f"p_date BETWEEN {W_START} AND {W_END}"
+# all dated rows of the fixtures, and the range of the operators whose feature is a range
+IN_WINDOW = "p_date BETWEEN DATE '2023-12-22' AND DATE '2025-03-30'"
+IN_RANGE = "p_date BETWEEN DATE '2024-01-01' AND DATE '2024-02-15'"
 
 ADAPTER = """
 raw_teams AS (
@@ -149,14 +150,14 @@ answer_counts AS (
     count(*) FILTER (WHERE rsvp_status = 1) AS accepted_rsvps,
     count(*) FILTER (WHERE rsvp_status = 2) AS declined_rsvps,
     count(*) FILTER (WHERE rsvp_status = 0) AS unanswered_rsvps,
-    count(*) FILTER (WHERE rsvp_status = 1 OR rsvp_status = 2) AS responded_members
+    count(*) FILTER (WHERE rsvp_status IN (1, 2)) AS responded_members
   FROM f_rsvps WHERE is_latest_response GROUP BY event_id),
 box_hits AS (
   SELECT e.event_id, b.state
   FROM d_events e JOIN d_teams t ON e.team_id = t.team_id
   LEFT JOIN geo_boxes b ON e.has_location AND b.country_code = t.country_code
-    AND e.latitude >= b.min_lat AND e.latitude <= b.max_lat
-    AND e.longitude >= b.min_lng AND e.longitude <= b.max_lng),
+    AND e.latitude BETWEEN b.min_lat AND b.max_lat
+    AND e.longitude BETWEEN b.min_lng AND b.max_lng),
 event_region AS (
   SELECT event_id, state AS region FROM (
     SELECT event_id, state, row_number() OVER (PARTITION BY event_id ORDER BY state ASC NULLS FIRST) AS k
@@ -226,6 +227,8 @@ def _gate_diff(cols: list[str], case: str) -> tuple[bool, str]:
         return False, "extra: extra_col"
     if case == "reordered":
         return False, "reordered"
+    if case == "wrong_type":
+        return False, f"type: {cols[-1]}"
     return False, f"missing: {cols[-1]}"
 
 
@@ -233,7 +236,7 @@ def _sch_gate() -> str:
     parts = []
     for ent, cols in ENTITY_COLUMNS.items():
         names = [c for c, _ in cols]
-        for case in ("exact", "extra", "reordered", "missing"):
+        for case in ("exact", "extra", "reordered", "missing", "wrong_type"):
             ok, diff = _gate_diff(names, case)
             n = "count(*)" if ok else "count(*) * 0"
             parts.append(f"SELECT '{ent}' AS entity, '{case}' AS case_name, {str(ok).upper()} AS ok, "
@@ -289,15 +292,26 @@ SQL: dict[str, str] = {
     # 2.4
     "prj_rename": w("SELECT membership_id, group_id AS team_id, role_title, joined_at FROM raw_memberships",
                     "adapter"),
-    "prj_dim": w("SELECT * FROM d_events"),
-    "prj_fact": w("SELECT * FROM f_rsvps"),
-    "prj_drop": w("SELECT * FROM clean_membership", "clean"),
-    "prj_star_sql": w("SELECT * FROM enriched"),
+    "prj_dim": w("""SELECT 'd_teams' AS dim, 'team_id, team_activity, country_code, created_at' AS columns,
+  count(*) AS rows, count(DISTINCT team_id) AS keys FROM d_teams
+UNION ALL SELECT 'd_membership', 'membership_id, team_id, role_title, joined_at', count(*), count(DISTINCT membership_id)
+FROM d_membership
+UNION ALL SELECT 'd_events', 'event_id, team_id, event_start, event_end, event_duration_minutes, has_location, latitude,'
+  || ' longitude, created_at', count(*), count(DISTINCT event_id) FROM d_events"""),
+    "prj_fact": w("SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at, is_latest_response, p_date"
+                  " FROM clean_rsvps WHERE is_valid_record", "clean"),
+    "prj_drop": w("SELECT event_id, team_id, event_start, event_end, latitude, longitude, created_at, p_date,"
+                  " is_valid_record, has_location, event_duration_minutes FROM clean_events", "clean"),
+    "prj_star_sql": w("""SELECT t.country_code, g.region, m.role_title, count(*) AS answers,
+  count(DISTINCT f.event_id) AS events, count(*) FILTER (WHERE f.rsvp_status = 1) AS accepted
+FROM f_rsvps f LEFT JOIN d_events e ON f.event_id = e.event_id LEFT JOIN d_teams t ON e.team_id = t.team_id
+LEFT JOIN d_membership m ON f.membership_id = m.membership_id LEFT JOIN event_region g ON f.event_id = g.event_id
+GROUP BY 1, 2, 3"""),
     "prj_audit": w("SELECT team_id, TIMESTAMP '2024-02-16 00:00:00' AS etl_created_date,"
                    " TIMESTAMP '2024-02-16 00:00:00' AS etl_updated_date FROM d_teams"),
     "prj_transform": w("SELECT * FROM teams_one", "clean"),
     # 2.5
-    "flt_date_range": w(f"SELECT * FROM raw_event_rsvps WHERE {IN_WINDOW}", "adapter"),
+    "flt_date_range": w(f"SELECT * FROM raw_event_rsvps WHERE {IN_RANGE}", "adapter"),
     "flt_pk_not_null": w("SELECT event_rsvp_id, event_id FROM raw_event_rsvps WHERE event_rsvp_id IS NOT NULL",
                          "adapter"),
     "flt_valid": w("SELECT event_id, is_valid_record FROM clean_events WHERE is_valid_record", "clean"),
@@ -314,10 +328,10 @@ SQL: dict[str, str] = {
                   "clean"),
     "flt_cast_date_eq": w("SELECT membership_id, joined_at FROM d_membership"
                           " WHERE CAST(joined_at AS DATE) = DATE '2024-01-30'"),
-    "flt_point_lookup": w("""SELECT r.event_rsvp_id, r.event_id, r.membership_id, r.rsvp_status, r.responded_at,
-  r.is_latest_response FROM clean_rsvps r
-WHERE EXISTS (SELECT 1 FROM clean_rsvps p WHERE p.event_id = r.event_id AND p.membership_id = r.membership_id
-              GROUP BY p.event_id, p.membership_id HAVING count(*) > 1)""", "clean"),
+    "flt_point_lookup": w("""SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at
+FROM raw_event_rsvps
+WHERE (event_id, membership_id) = (SELECT (event_id, membership_id) FROM raw_event_rsvps
+  GROUP BY event_id, membership_id ORDER BY count(*) DESC, event_id, membership_id LIMIT 1)""", "adapter"),
     # 2.6
     "jon_fk_team": w("SELECT event_id, team_id, is_valid_team_id FROM clean_events", "clean"),
     "jon_fk_membership": w("SELECT event_rsvp_id, membership_id, is_valid_membership_id FROM clean_rsvps", "clean"),
@@ -355,11 +369,17 @@ SELECT 'is_valid_record', is_valid_record, count(*), count(DISTINCT event_rsvp_i
 FROM clean_rsvps GROUP BY is_valid_record""", "clean"),
     "agg_error_breakdown": w("SELECT validation_error, count(DISTINCT event_rsvp_id) AS rsvps FROM clean_rsvps"
                              " GROUP BY validation_error", "clean"),
-    "agg_group_by_all": w("SELECT is_valid_record, is_latest_response, count(*) AS n FROM clean_rsvps GROUP BY ALL",
+    "agg_group_by_all": w("""SELECT 'flags' AS kind, CAST(is_valid_record AS VARCHAR) AS a,
+  CAST(is_latest_response AS VARCHAR) AS b, count(*) AS n FROM clean_rsvps GROUP BY ALL
+UNION ALL SELECT 'team', country_code, team_activity, count(*) FROM clean_teams GROUP BY country_code, team_activity""",
                           "clean"),
-    "agg_multi_key": w("SELECT country_code, region, event_date, team_activity, count(*) AS n FROM enriched"
-                       " GROUP BY country_code, region, event_date, team_activity"),
-    "agg_daily_distinct": w("SELECT p_date, count(DISTINCT membership_id) AS members FROM f_rsvps GROUP BY p_date"),
+    "agg_multi_key": w("""SELECT e.event_id, e.team_id, t.country_code, b.state, e.latitude, b.min_lat, b.max_lat,
+  e.longitude, b.min_lng, b.max_lng, count(*) AS n
+FROM d_events e LEFT JOIN d_teams t ON e.team_id = t.team_id
+LEFT JOIN geo_boxes b ON e.has_location AND b.country_code = t.country_code
+  AND e.latitude BETWEEN b.min_lat AND b.max_lat AND e.longitude BETWEEN b.min_lng AND b.max_lng
+GROUP BY ALL"""),
+    "agg_daily_distinct": w("SELECT event_date, count(DISTINCT team_id) AS teams FROM enriched GROUP BY event_date"),
     # 2.8
     "win_latest": w("SELECT event_rsvp_id, event_id, membership_id, is_latest_response FROM rsvps_flagged", "clean"),
     "win_region_pick": w("SELECT e.event_id, g.region FROM d_events e JOIN d_teams t ON e.team_id = t.team_id"
@@ -394,7 +414,7 @@ FROM clean_rsvps GROUP BY is_valid_record""", "clean"),
     "fn_ts_compare": w("SELECT event_id, event_start <= event_end AS ordered FROM raw_events", "adapter"),
     "fn_duration_minutes": w("SELECT event_id, CAST(date_diff('second', event_start, event_end) AS DOUBLE) / 60"
                              " AS event_duration_minutes FROM raw_events", "adapter"),
-    "fn_between": w(f"SELECT event_id, latitude BETWEEN 35.0 AND 50.0 AS in_band, {IN_WINDOW} AS in_window"
+    "fn_between": w(f"SELECT event_id, latitude BETWEEN 35.0 AND 50.0 AS in_band, {IN_RANGE} AS in_window"
                     " FROM raw_events", "adapter"),
     "fn_round_decimal": w(f"SELECT event_id, {rate('accepted_rsvps', 'total_rsvps')} AS accepted_share"
                           " FROM answer_counts"),
@@ -436,13 +456,18 @@ UNION ALL SELECT 'rows', 'd_events', count(*) FROM d_events
 UNION ALL SELECT 'rows', 'f_events_enriched', count(*) FROM enriched"""),
     "dq_queryable": w("""SELECT 'v_d_teams' AS view_name, TRUE AS queryable
 UNION ALL SELECT 'v_d_membership', TRUE UNION ALL SELECT 'v_d_events', TRUE
-UNION ALL SELECT 'v_f_rsvps', TRUE UNION ALL SELECT 'v_enriched', TRUE""", "adapter"),
+UNION ALL SELECT 'v_f_events_rsvps', TRUE UNION ALL SELECT 'v_f_events_enriched', TRUE
+UNION ALL SELECT 'v_not_there', FALSE""", "adapter"),
     "dq_required_columns": w("""SELECT 'v_d_teams' AS table_name, count(*) AS rows, '' AS missing_columns FROM d_teams
-UNION ALL SELECT 'v_f_events_rsvps', count(*), '' FROM wide"""),
+UNION ALL SELECT 'v_d_membership', count(*), '' FROM d_membership
+UNION ALL SELECT 'v_d_events', count(*), '' FROM d_events
+UNION ALL SELECT 'v_f_events_rsvps', count(*), '' FROM wide
+UNION ALL SELECT 'v_f_events_enriched', count(*), '' FROM enriched"""),
     "dq_not_null": w("""SELECT 'v_f_events_rsvps' AS table_name, 'event_rsvp_id' AS column_name,
   count(*) FILTER (WHERE event_rsvp_id IS NULL) AS nulls FROM wide
 UNION ALL SELECT 'v_f_events_rsvps', 'event_start', count(*) FILTER (WHERE event_start IS NULL) FROM wide
 UNION ALL SELECT 'v_f_events_rsvps', 'event_end', count(*) FILTER (WHERE event_end IS NULL) FROM wide
+UNION ALL SELECT 'v_f_events_rsvps', 'etl_created_date', 0
 UNION ALL SELECT 'v_f_events_rsvps', 'p_date', count(*) FILTER (WHERE p_date IS NULL) FROM wide
 UNION ALL SELECT 'v_d_teams', 'team_id', count(*) FILTER (WHERE team_id IS NULL) FROM d_teams"""),
     "dq_accepted_values": w("""SELECT 'f_events_rsvps' AS table_name, 'rsvp_status' AS column_name,

@@ -33,7 +33,7 @@ class Warehouse:
 
     def __post_init__(self) -> None:
         if not self.root:
-            for db in {self.cfg.raw_db, self.cfg.clean_db, self.cfg.analytics_db}:
+            for db in {self.cfg.raw_db, self.cfg.clean_db, self.cfg.analytics_db, self.cfg.aggregates_db}:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
     def target(self, layer: str, name: str) -> str:
@@ -50,7 +50,7 @@ class Warehouse:
         """
         t = self.target(layer, name)
         if t not in self._frames:
-            self._frames[t] = sinks.read_target(self.spark, t, self.cfg.table_format)
+            self._frames[t] = sinks.read_target(self.spark, t, self.cfg.table_format, schemas.STORED.get(name))
         return self._frames[t]
 
     def exists(self, layer: str, name: str) -> bool:
@@ -67,10 +67,20 @@ class Warehouse:
         if not sinks.is_path(target):
             self.spark.catalog.refreshTable(target)
 
+    def view_name(self, name: str) -> str:
+        """A published view: in the analytics database, or a temporary view over path tables."""
+        return name if self.root else self.cfg.table("analytics", name)
+
     def view(self, name: str, layer: str, table: str) -> None:
         t = self.target(layer, table)
-        view = name if sinks.is_path(t) else f"{self.cfg.table(layer, name)}"
-        sinks.create_view(self.spark, view, t, self.cfg.table_format)
+        if self.root:
+            self.read(layer, table).createOrReplaceTempView(name)  # a declared schema where no file is yet
+        else:
+            sinks.create_view(self.spark, self.view_name(name), t, self.cfg.table_format)
+
+    def view_sql(self, name: str, sql: str) -> None:
+        kind = "TEMPORARY VIEW" if self.root else "VIEW"
+        self.spark.sql(f"CREATE OR REPLACE {kind} {self.view_name(name)} AS {sql}")
 
 
 def load_raw(wh: Warehouse, sources: dict[str, DataFrame], geo: DataFrame | None = None) -> None:
@@ -85,6 +95,11 @@ def load_raw(wh: Warehouse, sources: dict[str, DataFrame], geo: DataFrame | None
             out = window_filter(out, wh.cfg)
         wh.write(out, "raw", table, "p_date", dynamic=incremental)
     if geo is not None:
+        if incremental and wh.exists("analytics", "d_geo_looker"):
+            old = wh.read("analytics", "d_geo_looker").select(*geo.columns)
+            wh.touched["boxes"] = bool(old.exceptAll(geo).limit(1).count() or geo.exceptAll(old).limit(1).count())
+            if not wh.touched["boxes"]:
+                return
         wh.write(geo, "analytics", "d_geo_looker")
 
 
@@ -95,14 +110,22 @@ def _raw(wh: Warehouse, entity: str) -> DataFrame:
 def run_clean(wh: Warehouse) -> None:
     """Each clean table is written before the next one validates against it.
     FK probes read the whole stored clean table, not just the window."""
+    from huddle.streaming.incremental import merge_keyed_day, merge_rsvp_day
+
     cfg, incr = wh.cfg, not wh.cfg.full_load
-    wh.write(clean.clean_teams(_raw(wh, "teams"), cfg), "clean", "clean_teams", "p_date", dynamic=incr)
+
+    def run(entity: str, key: str, prepare, validate) -> None:
+        table = CLEAN_TABLES[entity]
+        if incr and wh.exists("clean", table):
+            merge_keyed_day(wh, table, key, prepare(_raw(wh, entity), cfg), validate)
+        else:
+            wh.write(validate(prepare(_raw(wh, entity), cfg)), "clean", table, "p_date", dynamic=incr)
+
+    run("teams", "team_id", clean.prepare_teams, lambda d: clean.validate_teams(d, cfg))
     teams = wh.read("clean", "clean_teams")
-    wh.write(clean.clean_membership(_raw(wh, "memberships"), teams, cfg), "clean", "clean_membership",
-             "p_date", dynamic=incr)
-    wh.write(clean.clean_events(_raw(wh, "events"), teams, cfg), "clean", "clean_events", "p_date", dynamic=incr)
+    run("memberships", "membership_id", clean.prepare_membership, lambda d: clean.validate_membership(d, teams))
+    run("events", "event_id", clean.prepare_events, lambda d: clean.validate_events(d, teams))
     if incr and wh.exists("clean", "clean_events_rsvps"):
-        from huddle.streaming.incremental import merge_rsvp_day
         merge_rsvp_day(wh)
     else:
         rsvps = clean.clean_event_rsvps(_raw(wh, "event_rsvps"), wh.read("clean", "clean_membership"),
@@ -112,12 +135,10 @@ def run_clean(wh: Warehouse) -> None:
 
 def run_dims(wh: Warehouse) -> None:
     for dim, (src, key, cols) in dims.DIMS.items():
-        frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg)
+        # rows of a key that was delivered again may sit in another partition than the window's
+        frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg, extra_dates=wh.touched.get(src))
         dims.load_dim(wh.spark, frame, wh.target("analytics", dim), key, wh.cfg)
         wh.forget(wh.target("analytics", dim))
-        wh.view(f"v_{dim}", "analytics", dim)
-    if wh.exists("analytics", "d_geo_looker"):
-        wh.view("v_d_geo_looker", "analytics", "d_geo_looker")
 
 
 def geo_boxes(wh: Warehouse) -> DataFrame:
@@ -138,8 +159,44 @@ def run_facts(wh: Warehouse) -> None:
     else:
         from huddle.streaming.incremental import refresh_facts
         refresh_facts(wh)
-    wh.view("v_f_events_rsvps", "analytics", "f_events_rsvps")
+
+
+def publish_views(wh: Warehouse) -> None:
+    for dim in dims.DIMS:
+        wh.view(f"v_{dim}", "analytics", dim)
+    if wh.exists("analytics", "d_geo_looker"):
+        wh.view("v_d_geo_looker", "analytics", "d_geo_looker")
     wh.view("v_f_events_enriched", "analytics", "f_events_enriched")
+    # the published RSVP view carries the event's, team's and member's columns
+    if wh.root:
+        wh.view("__f_events_rsvps", "analytics", "f_events_rsvps")
+    rsvps = "__f_events_rsvps" if wh.root else wh.target("analytics", "f_events_rsvps")
+    wh.view_sql("v_f_events_rsvps", facts.wide_view_sql(
+        rsvps, wh.view_name("v_d_events"), wh.view_name("v_d_teams"), wh.view_name("v_d_membership")))
+
+
+def run_aggregates(wh: Warehouse) -> None:
+    """The aggregates layer: period tables over the published facts, and the calendar."""
+    from huddle.plans import metrics
+    enriched, f = wh.read("analytics", "f_events_enriched"), wh.read("analytics", "f_events_rsvps")
+    members, events = wh.read("analytics", "d_membership"), wh.read("analytics", "d_events")
+    tables = {
+        "membership_enriched": metrics.fct_membership_enriched(f, members),
+        "weekly_monthly": metrics.agg_weekly_monthly(enriched),
+        "daily_active_teams": metrics.met_daily_active_teams(events),
+        "new_vs_returning": metrics.met_new_vs_returning(f, members),
+        "events_per_region": metrics.met_events_per_region(enriched),
+        "dim_date": metrics.dim_date("lo", "hi", frame=metrics.data_date_span((events, "event_start"), (f, "responded_at"))),
+    }
+    for name, df in tables.items():  # one row per day, week, region: small results, one file each
+        wh.write(df.coalesce(1), "aggregates", name)
+
+
+def check_published(wh: Warehouse) -> None:
+    """Fail the run when the published views break their contract."""
+    from huddle.plans import quality
+    report = quality.published_report(wh.spark, {n: wh.view_name(n) for n in quality.PUBLISHED}, list(wh.cfg.valid_rsvp_statuses))
+    quality.assert_zero(report, "findings")
 
 
 def run_batch(spark: SparkSession, cfg: JobConfig, sources: dict[str, DataFrame] | None = None,
@@ -151,4 +208,8 @@ def run_batch(spark: SparkSession, cfg: JobConfig, sources: dict[str, DataFrame]
     run_clean(wh)
     run_dims(wh)
     run_facts(wh)
+    publish_views(wh)
+    run_aggregates(wh)
+    if cfg.quality_gate:
+        check_published(wh)
     return wh

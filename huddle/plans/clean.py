@@ -35,13 +35,20 @@ def invalid_rows(clean: DataFrame, include_undetermined: bool = True) -> DataFra
     return clean.where(~v | v.isNull()) if include_undetermined else clean.where(~v)
 
 
-def clean_teams(raw: DataFrame, cfg: JobConfig) -> DataFrame:
-    df = _select_keyed(raw, "team_id", cfg).select(
+def prepare_teams(raw: DataFrame, cfg: JobConfig) -> DataFrame:
+    return _select_keyed(raw, "team_id", cfg).select(
         "team_id", F.col("group_activity").alias("team_activity"), "country_code", "created_at", "p_date")
+
+
+def validate_teams(df: DataFrame, cfg: JobConfig) -> DataFrame:
     return apply_checks(df, [Check("is_valid_country_code",
                                    F.col("country_code").isin(list(cfg.valid_country_codes)), C.MSG_COUNTRY)])
 
 
+def clean_teams(raw: DataFrame, cfg: JobConfig) -> DataFrame:
+    return validate_teams(prepare_teams(raw, cfg), cfg)
+
+
 def prepare_membership(raw: DataFrame, cfg: JobConfig) -> DataFrame:
     return _select_keyed(raw, "membership_id", cfg).select(
         "membership_id", F.col("group_id").alias("team_id"), "role_title", "joined_at", "p_date")

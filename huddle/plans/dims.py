@@ -8,7 +8,7 @@ from huddle import schemas
 from huddle.config import JobConfig
 from huddle.operators import sinks
 from huddle.plans.audit import add_audit
-from huddle.sources.catalog import window_filter
+from huddle.sources.catalog import in_window, on_dates
 
 DIMS = {
     "d_teams": ("clean_teams", "team_id", schemas.D_TEAMS),
@@ -17,8 +17,13 @@ DIMS = {
 }
 
 
-def dim_frame(clean: DataFrame, columns: list[str], cfg: JobConfig, audit: bool = True) -> DataFrame:
-    df = window_filter(clean, cfg).where(F.col("is_valid_record") == F.lit(True)).select(*columns)
+def dim_frame(clean: DataFrame, columns: list[str], cfg: JobConfig, audit: bool = True,
+              extra_dates: list | None = None) -> DataFrame:
+    """Valid rows of the window, and of further partitions that the run rewrote."""
+    days = in_window(cfg)
+    if extra_dates:
+        days = days | on_dates(extra_dates)
+    df = clean.where(days).where(F.col("is_valid_record") == F.lit(True)).select(*columns)
     return add_audit(df, cfg) if audit else df
 
 

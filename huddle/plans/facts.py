@@ -44,14 +44,13 @@ def events_with_teams(d_events: DataFrame, d_teams: DataFrame) -> DataFrame:
 
 
 def fct_events_enriched(d_events: DataFrame, d_teams: DataFrame, geo: DataFrame, f_rsvps: DataFrame,
-                        cfg: JobConfig, audit: bool = True, n_boxes: int | None = None) -> DataFrame:
+                        cfg: JobConfig, audit: bool = True) -> DataFrame:
     """One row per event: team attributes, region, RSVP counts, attendance rate.
 
     Events without RSVPs keep NULL counts and get rate 0.00.
     """
     et = events_with_teams(d_events, d_teams)
-    et = with_region(et, geo, "event_id", max_broadcast=cfg.geo_broadcast_max_boxes,
-                     cell=cfg.geo_cell_degrees, n_boxes=n_boxes, tie=cfg.region_tie)
+    et = with_region(et, geo, tie=cfg.region_tie)
     s = rsvp_summary(f_rsvps).withColumnRenamed("event_id", "__s_id")
     out = (et.join(s, F.col("event_id") == F.col("__s_id"), "left")
              .withColumns({"event_date": X.to_date("event_start"),
@@ -74,37 +73,8 @@ def fct_event_rsvps_wide(f_rsvps: DataFrame, d_events: DataFrame, d_teams: DataF
                    .drop("__e_id", "__t_id", "__m_id"))
 
 
-
-def fct_events_enriched_sql(spark, d_events: str, d_teams: str, geo: str, f_rsvps: str) -> DataFrame:
-    """The enriched fact as one Spark SQL statement over registered tables or
-    views (same result as ``fct_events_enriched``)."""
-    return spark.sql(f"""
-        WITH answers AS (
-          SELECT event_id AS a_event,
-                 count(1) AS total_rsvps,
-                 count_if(rsvp_status = 1) AS accepted_rsvps,
-                 count_if(rsvp_status = 2) AS declined_rsvps,
-                 count_if(rsvp_status = 0) AS unanswered_rsvps,
-                 count_if(rsvp_status IN (1, 2)) AS responded_members
-          FROM {f_rsvps} WHERE is_latest_response GROUP BY event_id),
-        placed AS (
-          SELECT ev.event_id AS p_event,
-                 min(named_struct('known', bx.state IS NOT NULL, 'state', bx.state)).state AS region
-          FROM {d_events} ev
-          JOIN {d_teams} tm ON tm.team_id = ev.team_id
-          JOIN {geo} bx ON ev.has_location AND bx.country_code = tm.country_code
-           AND ev.latitude >= bx.min_lat AND ev.latitude <= bx.max_lat
-           AND ev.longitude >= bx.min_lng AND ev.longitude <= bx.max_lng
-          GROUP BY ev.event_id)
-        SELECT ev.event_id, ev.team_id, ev.event_start, ev.event_end,
-               to_date(ev.event_start) AS event_date, ev.event_duration_minutes,
-               tm.team_activity, tm.country_code, placed.region,
-               answers.total_rsvps, answers.accepted_rsvps, answers.declined_rsvps,
-               answers.unanswered_rsvps, answers.responded_members,
-               round(if(answers.total_rsvps > 0,
-                        100.0 * answers.accepted_rsvps / answers.total_rsvps, 0), 2) AS event_attendance_rate
-        FROM {d_events} ev
-        LEFT JOIN {d_teams} tm ON tm.team_id = ev.team_id
-        LEFT JOIN placed ON placed.p_event = ev.event_id
-        LEFT JOIN answers ON answers.a_event = ev.event_id
-    """)
+def wide_view_sql(f_rsvps: str, d_events: str, d_teams: str, d_membership: str) -> str:
+    """The wide RSVP fact over stored tables or views, as a view definition."""
+    return (f"SELECT f.*, e.event_start, e.event_end, e.event_duration_minutes, e.team_id, t.country_code, m.role_title "
+            f"FROM {f_rsvps} f LEFT JOIN {d_events} e USING (event_id) LEFT JOIN {d_teams} t ON e.team_id = t.team_id "
+            f"LEFT JOIN {d_membership} m ON f.membership_id = m.membership_id")

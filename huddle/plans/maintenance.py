@@ -30,16 +30,10 @@ def revalidate_membership(old_clean: DataFrame, raw: DataFrame, teams: DataFrame
     """Rerun the membership checks on partitions with not-valid rows against the
     current team table; return rows whose outcome changed (late parents)."""
     dates = not_valid_dates(old_clean)  # one row per partition day: bounded by the table's days
-    raw_part = raw.join(F.broadcast(dates), "p_date", "left_semi")
+    raw_part = raw.join(dates, "p_date", "left_semi")
     return revalidate(old_clean, clean.clean_membership(raw_part, teams, cfg), "membership_id")
 
 
-def revalidate_events(old_clean: DataFrame, raw: DataFrame, teams: DataFrame, cfg: JobConfig) -> DataFrame:
-    dates = not_valid_dates(old_clean)
-    raw_part = raw.join(F.broadcast(dates), "p_date", "left_semi")
-    return revalidate(old_clean, clean.clean_events(raw_part, teams, cfg), "event_id")
-
-
 def retention_report(df: DataFrame, table: str, cutoff: str | dt.date) -> DataFrame:
     """Rows a retention run drops (p_date < cutoff, per partition) and the
     undated rows it keeps: (table_name, p_date, action, rows)."""
@@ -59,11 +53,9 @@ def apply_retention(df: DataFrame, cutoff: str | dt.date) -> DataFrame:
 
 def run_retention(wh, layer: str, table: str, cutoff: str | dt.date) -> DataFrame:
     """Drop partitions older than ``cutoff`` from a p_date-partitioned table and
-    return the report of what was dropped. Catalog tables drop partitions in
-    the catalog; path tables are rewritten from a staged copy of the kept rows
-    (undated rows are kept either way)."""
+    return the report of what was dropped. No kept row is rewritten; undated rows
+    are kept."""
     from huddle.operators import sinks
-    from huddle.session import scratch_path
 
     df = wh.read(layer, table)
     report = retention_report(df, table, cutoff)
@@ -72,13 +64,6 @@ def run_retention(wh, layer: str, table: str, cutoff: str | dt.date) -> DataFram
     old_dates = sorted(r["p_date"] for r in rows if r["p_date"] is not None)
     if not old_dates:
         return wh.spark.createDataFrame(rows, report.schema)
-    if not sinks.is_path(target):
-        for d in old_dates:
-            wh.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (p_date = DATE '{d.isoformat()}')")
-        wh.forget(target)
-    else:
-        stage = scratch_path(wh.spark, f"retention-{table}")
-        apply_retention(df, cutoff).write.format(wh.cfg.table_format).save(stage)
-        kept = wh.spark.read.format(wh.cfg.table_format).load(stage)
-        wh.write(kept, layer, table, "p_date")
+    sinks.drop_partitions(wh.spark, target, "p_date", old_dates)
+    wh.forget(target)
     return wh.spark.createDataFrame(rows, report.schema)

@@ -62,3 +62,33 @@ F_EVENTS_ENRICHED = ["event_id", "team_id", "event_start", "event_end", "event_d
                      "event_duration_minutes", "team_activity", "country_code", "region",
                      "total_rsvps", "accepted_rsvps", "declined_rsvps", "unanswered_rsvps",
                      "responded_members", "event_attendance_rate"]
+
+_CHECKED = "is_valid_record boolean, validation_error string"
+_AUDIT = "etl_created_date timestamp, etl_updated_date timestamp"
+_EVENT = ("event_id string, team_id string, event_start timestamp, event_end timestamp, latitude double, "
+          "longitude double, created_at timestamp, has_location boolean, event_duration_minutes double")
+_RSVP = ("event_rsvp_id string, event_id string, membership_id string, rsvp_status int, responded_at timestamp, "
+         "is_latest_response boolean")
+
+# Stored tables as DDL, for reading one that has no file yet.
+STORED = {
+    **{table: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", p_date date"
+       for schema, _, _, table in ENTITIES.values()},
+    "clean_teams": "team_id string, team_activity string, country_code string, created_at timestamp, "
+                   f"is_valid_country_code boolean, {_CHECKED}, p_date date",
+    "clean_membership": "membership_id string, team_id string, role_title string, joined_at timestamp, "
+                        f"is_valid_team_id boolean, {_CHECKED}, p_date date",
+    "clean_events": f"{_EVENT}, is_valid_team_id boolean, is_valid_timestamps boolean, {_CHECKED}, p_date date",
+    "clean_events_rsvps": f"{_RSVP}, rsvp_response string, is_valid_event_id boolean, is_valid_membership_id boolean, "
+                          f"is_valid_rsvp boolean, {_CHECKED}, p_date date",
+    "d_teams": f"team_id string, team_activity string, country_code string, created_at timestamp, {_AUDIT}",
+    "d_membership": f"membership_id string, team_id string, role_title string, joined_at timestamp, {_AUDIT}",
+    "d_events": f"{_EVENT}, {_AUDIT}",
+    "d_geo_looker": "country_code string, state string, min_lat double, min_lng double, max_lat double, max_lng double",
+    "f_events_rsvps": f"{_RSVP}, etl_created_date timestamp, p_date date",
+    "f_events_enriched": "event_id string, team_id string, event_start timestamp, event_end timestamp, "
+                         "event_duration_minutes double, team_activity string, country_code string, region string, "
+                         "total_rsvps bigint, accepted_rsvps bigint, declined_rsvps bigint, unanswered_rsvps bigint, "
+                         "responded_members bigint, event_attendance_rate decimal(27,2), etl_created_date timestamp, "
+                         "event_date date",
+}

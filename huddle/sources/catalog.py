@@ -26,5 +26,12 @@ def in_window(cfg: JobConfig, col: str = "p_date"):
     return (cond | F.col(col).isNull()) if cfg.include_undated else cond
 
 
+def on_dates(dates: list, col: str = "p_date"):
+    """Rows of the given partition dates; None stands for the NULL partition. Never NULL itself."""
+    days = [d for d in dates if d is not None]
+    cond = F.coalesce(F.col(col).isin(days), F.lit(False)) if days else F.lit(False)
+    return (cond | F.col(col).isNull()) if None in dates else cond
+
+
 def window_filter(df: DataFrame, cfg: JobConfig, col: str = "p_date") -> DataFrame:
     return df.where(in_window(cfg, col))

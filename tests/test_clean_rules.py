@@ -164,16 +164,38 @@ def test_enriched_event_without_rsvps_and_regions(spark):
     assert e2["two"]["region"] == "Zeta"
 
 
-def test_geo_grid_form_matches_broadcast(spark):
+def _grid_case(spark):
+    """Points with repeated and NULL ids, and boxes of very different sizes (one spans the globe)."""
+    pts = [(str(i % 7) if i % 5 else None, "NOR" if i % 4 else "GBR", 55.0 + i * 0.37, 4.0 + i * 0.53, bool(i % 6))
+           for i in range(60)] + [("x", None, 56.0, 5.0, True), ("y", "NOR", None, 5.0, True), ("z", "NOR", 55.0, 4.0, True)]
+    boxes = [("NOR", f"S{j}", 55.0 + j, 4.0 + j, 58.5 + j, 9.0 + j) for j in range(8)] + [
+        ("NOR", None, 60.0, 10.0, 61.0, 11.0), ("GBR", "World", -90.0, -180.0, 90.0, 180.0), (None, "N", 0.0, 0.0, 90.0, 90.0)]
+    return (pts, boxes, spark.createDataFrame(pts, "id string, country_code string, latitude double, longitude double, "
+                                                   "has_location boolean"), spark.createDataFrame(boxes, schemas.GEO_BOXES))
+
+
+def _hits(p, boxes):
+    return [b for b in boxes if p[4] and p[1] is not None and p[1] == b[0] and p[2] is not None
+            and b[2] <= p[2] <= b[4] and b[3] <= p[3] <= b[5]]
+
+
+def test_region_keeps_every_row_and_matches_brute_force(spark):
+    from huddle.operators import geo as G
+    pts, boxes, pdf, bdf = _grid_case(spark)
+
+    def first(p):
+        return min((b[1] for b in _hits(p, boxes)), key=lambda s: (s is not None, s or ""), default=None)
+
+    got = sorted((tuple(r) for r in G.with_region(pdf, bdf).collect()), key=repr)
+    assert got == sorted(((*p, first(p)) for p in pts), key=repr)
+
+
+def test_box_matches_equals_brute_force(spark):
     from huddle.operators import geo as G
-    pts = spark.createDataFrame([(str(i), "NOR", 55.0 + i * 0.37, 4.0 + i * 0.53, True) for i in range(40)],
-                                "id string, country_code string, latitude double, longitude double, "
-                                "has_location boolean")
-    boxes = spark.createDataFrame([("NOR", f"S{j}", 55.0 + j, 4.0 + j, 58.5 + j, 9.0 + j) for j in range(8)]
-                                  + [("NOR", None, 60.0, 10.0, 61.0, 11.0)], schemas.GEO_BOXES)
-    a = {r["id"]: r["region"] for r in G.with_region_broadcast(pts, boxes).collect()}
-    b = {r["id"]: r["region"] for r in G.with_region_grid(pts, boxes, "id", cell=0.5).collect()}
-    assert a == b and any(v is not None for v in a.values())
+    pts, boxes, pdf, bdf = _grid_case(spark)
+    got = sorted((tuple(r) for r in G.box_matches(pdf, bdf).select("id", "latitude", "state").collect()), key=repr)
+    want = [(p[0], p[2], b[1] if b else None) for p in pts for b in (_hits(p, boxes) or [None])]
+    assert got == sorted(want, key=repr)
 
 
 def test_week_bucket_keeps_year(spark):
@@ -182,15 +204,3 @@ def test_week_bucket_keeps_year(spark):
     r = df.select(F.weekofyear("a").alias("wa"), F.weekofyear("b").alias("wb"),
                   X.week_start("a").alias("sa"), X.week_start("b").alias("sb")).first()
     assert r["wa"] == r["wb"] and r["sa"] != r["sb"]
-
-
-def test_box_matches_same_without_broadcast(spark):
-    from huddle.operators import geo as G
-    pts = spark.createDataFrame([(str(i), "NOR", 55.0 + i * 0.37, 4.0 + i * 0.53, True) for i in range(40)],
-                                "id string, country_code string, latitude double, longitude double, "
-                                "has_location boolean")
-    boxes = spark.createDataFrame([("NOR", f"S{j}", 55.0 + j, 4.0 + j, 58.5 + j, 9.0 + j) for j in range(8)],
-                                  schemas.GEO_BOXES)
-    a = sorted(map(tuple, G.box_matches(pts, boxes).select("id", "state").collect()), key=repr)
-    b = sorted(map(tuple, G.box_matches(pts, boxes, max_broadcast=0).select("id", "state").collect()), key=repr)
-    assert a == b and len(a) > 40

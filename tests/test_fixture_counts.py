@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from huddle.inventory import Chain
+from huddle.inventory import RANGE_CFG, Chain
 
 # (rows, valid, invalid, undetermined) per clean table, and RSVP / enriched figures
 EXPECTED = {
@@ -28,7 +28,7 @@ def buckets(df):
 
 @pytest.mark.parametrize("sf", sorted(EXPECTED))
 def test_fixture_counts(spark, sf):
-    exp, c = EXPECTED[sf], Chain(spark, sf)
+    exp, c = EXPECTED[sf], Chain(spark, sf, RANGE_CFG)
     assert buckets(c.clean_teams) == exp["teams"]
     m = buckets(c.clean_membership)
     assert m[:2] == exp["membership"][:2]

@@ -1,5 +1,5 @@
 """Plan shape: pruning and pushdown reach the scan, no Python in the plans,
-skew-safe aggregates instead of whole-group windows, broadcast only for boxes."""
+group limits before each shuffle, equi-joins only."""
 
 import pytest
 
@@ -36,16 +36,26 @@ def test_projection_pruned_at_scan(wh):
     assert "ReadSchema: struct<event_rsvp_id:string>" in plan(df)
 
 
-def test_no_python_and_no_group_window_in_rsvp_clean(spark, wh):
-    c = Chain(spark, SF001)
-    p = plan(c.clean_rsvps)
+def test_rsvp_clean_plan(spark, wh):
+    """No Python; survivors are group limits on both sides of the shuffle; the rows
+    are shuffled for the dedupe and the two foreign keys only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Chain(spark, SF001).clean_rsvps)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in p
-    assert "Window " not in p and "WindowGroupLimit" not in p  # survivor and latest flag are aggregates
+    assert "WindowGroupLimit" in p and "Partial" in p and "SortAggregate" not in p
+
+
+def test_dedupe_carries_each_column_once(spark, wh):
+    p = plan(clean.clean_teams(wh.read("raw", "raw_teams"), CFG))
+    assert p.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in p
 
 
 def test_enriched_plan(spark):
     c = Chain(spark, SF001)
     p = plan(c.enriched)
-    assert "BroadcastExchange" in p          # the checked-size box list
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p  # boxes meet points by cell
     assert "BatchEvalPython" not in p

@@ -14,7 +14,7 @@ CFG = JobConfig(start_date="2024-01-01", end_date="2024-02-15")
 
 
 def test_row_accounting_adds_up(spark):
-    c = Chain(spark, SF001)
+    c = Chain(spark, SF001, CFG)
     raw = c.raw("event_rsvps")
     rep = {r["outcome"]: r["n"] for r in
            quality.row_accounting(raw, c.clean_rsvps, "event_rsvp_id", in_window(CFG)).collect()}

@@ -103,3 +103,51 @@ def test_view_over_path(spark):
     sinks.write_full(spark.range(3).withColumnRenamed("id", "x"), p)
     sinks.create_view(spark, "v_test_path", p)
     assert spark.table("v_test_path").count() == 3
+
+
+def test_unreadable_target_is_never_replaced(spark):
+    """Only a path that is not found counts as absent."""
+    import os
+    p = scratch_path(spark, "t-broken")
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("v"),
+                                    F.lit(D(2024, 1, 1)).alias("etl_created_date"))
+    rows.coalesce(1).write.parquet(p)
+    assert not sinks.target_exists(spark, p + "-absent") and sinks.target_exists(spark, p)
+    name = next(n for n in os.listdir(p.removeprefix("file:")) if n.endswith(".parquet"))
+    full = os.path.join(p.removeprefix("file:"), name)
+    with open(full, "wb") as f:
+        f.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        sinks.upsert(spark, rows.limit(1), p, "id")
+    with open(full, "rb") as f:
+        assert f.read() == b"not parquet at all"  # untouched
+
+
+def test_table_without_files_is_read_with_its_schema(spark):
+    p = scratch_path(spark, "t-empty")
+    sinks.write_partitioned(_days(spark, []), p, "p_date")
+    assert sinks.read_target(spark, p, schema="k string, v int, p_date date").count() == 0
+
+
+def test_drop_partitions_leaves_the_others(spark):
+    import datetime as dt2
+    p = scratch_path(spark, "t-drop")
+    d1, d2 = dt2.date(2024, 1, 1), dt2.date(2024, 1, 2)
+    sinks.write_partitioned(_days(spark, [("a", 1, d1), ("b", 1, d2), ("n", 1, None)]), p)
+    sinks.drop_partitions(spark, p, "p_date", [d1, None])
+    assert {(r.k, r.v) for r in spark.read.parquet(p).collect()} == {("b", 1)}
+
+
+def test_merge_statement():
+    sql = sinks.merge_sql("db.t", "src", ["id", "v", "etl_created_date"], "id", "etl_created_date")
+    assert "ON t.id = s.id" in sql and "UPDATE SET t.id = s.id, t.v = s.v WHEN" in sql
+    assert "INSERT (id, v, etl_created_date) VALUES (s.id, s.v, s.etl_created_date)" in sql
+
+
+def test_jdbc_reads_are_always_split():
+    opts = jdbc.split_options("created_at", "2024-01-01", "2024-01-08", None, None, None, None)
+    assert opts == {"partitionColumn": "created_at", "lowerBound": "2024-01-01", "upperBound": "2024-01-09", "numPartitions": "8"}
+    assert jdbc.split_options(None, None, None, "id", 0, 10, 4)["upperBound"] == "10"
+    for args in ((None, None, None, None, None, None, None), (None, None, None, "id", None, 5, None)):
+        with pytest.raises(ValueError):
+            jdbc.split_options(*args)
