@@ -213,7 +213,7 @@ class Grouping:
         return rows.join(several.select("bucket"), "bucket")
 
 
-def central_pairs(rows: DataFrame, tested: DataFrame | None) -> DataFrame:
+def central_pairs(rows: DataFrame, tested: DataFrame) -> DataFrame:
     """For each class the most central class of another component in one of its buckets, if not yet tested."""
     who = F.struct(F.col("hub"), F.col("cid"), F.col("comp"))
     first = rows.groupBy("bucket").agg(F.max(who).alias("first"))
@@ -223,8 +223,7 @@ def central_pairs(rows: DataFrame, tested: DataFrame | None) -> DataFrame:
     other = F.when(F.col("comp") == F.col("first.comp"), F.col("second")).otherwise(F.col("first"))
     offers = rows.select("cid", other.alias("o")).select("cid", F.col("o.hub").alias("hub"), F.col("o.cid").alias("other")).distinct()
     offers = offers.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b"), "cid", "hub", "other")
-    if tested is not None:
-        offers = offers.join(tested, ["a", "b"], "left_anti")
+    offers = offers.join(tested, ["a", "b"], "left_anti")
     best = offers.groupBy("cid").agg(F.max(F.struct("hub", "a", "b")).alias("p"))
     return best.select("p.a", "p.b").distinct()
 
@@ -320,16 +319,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     groups = Grouping(spark, members)
     wanted = classes.join(groups.comp.select("cid"), "cid", "left_semi").select("cid", "rep")
     sets = stage_table(spark, full_sets(docs, wanted, id_col, text_col), "dedup-sets")
-    tested: list[DataFrame] = []
+    tested = [spark.createDataFrame([], "a binary, b binary")]
     for _ in range(rounds):
-        pairs = stage_table(spark, central_pairs(groups.open_buckets(members), reduce(DataFrame.unionByName, tested) if tested else None),
-                            "dedup-pairs")
+        pairs = stage_table(spark, central_pairs(groups.open_buckets(members), reduce(DataFrame.unionByName, tested)), "dedup-pairs")
         if not pairs.limit(1).count():
             break
         tested.append(pairs)
         groups.link(stage_table(spark, confirm(pairs, sets), "dedup-confirmed"))
-    else:
-        rest = groups.open_buckets(members)
+    rest = groups.open_buckets(members)
+    if rest.limit(1).count():
         pairs = stage_table(spark, prefix_pairs(rest, sets, reduce(DataFrame.unionByName, tested)), "dedup-pairs")
         groups.link(stage_table(spark, confirm(pairs, sets), "dedup-confirmed"))
     comp = classes.select("cid", "rep").join(groups.comp, "cid", "left").select(
