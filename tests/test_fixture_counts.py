@@ -42,3 +42,14 @@ def test_fixture_counts(spark, sf):
     e = c.enriched.agg(F.count(F.lit(1)), F.count("total_rsvps"), F.count("region"), F.countDistinct("region"),
                        F.sum("total_rsvps"), F.sum("accepted_rsvps")).first()
     assert tuple(e) == exp["enriched"]
+
+
+@pytest.mark.parametrize("sf,rsvps,enriched", [
+    ("/root/testdata/sf0.001", (4074, 208, 3866, 0), (544, 145, 156, 24, 145, 53)),
+    ("/root/testdata/sf0.01", (40512, 15780, 24506, 226), (6139, 5504, 1818, 25, 10960, 4322))])
+def test_all_dated_rows(spark, sf, rsvps, enriched):
+    c = Chain(spark, sf)
+    assert buckets(c.clean_rsvps) == rsvps
+    e = c.enriched.agg(F.count(F.lit(1)), F.count("total_rsvps"), F.count("region"), F.countDistinct("region"),
+                       F.sum("total_rsvps"), F.sum("accepted_rsvps")).first()
+    assert tuple(e) == enriched
