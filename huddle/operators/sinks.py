@@ -34,6 +34,7 @@ def target_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> boo
     raised, so that nothing is ever overwritten because it could not be read."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
+    finish_swap(spark, target)
     try:
         spark.read.format(fmt).load(target)
         return True
@@ -45,6 +46,36 @@ def target_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> boo
         raise
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path constructor) of a path, through Spark's own Hadoop client."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def finish_swap(spark: SparkSession, target: str) -> None:
+    """Put the previous version back if a swap broke off between its two renames."""
+    fs, path = _file_system(spark, target)
+    old = path(f"{target.rstrip('/')}__previous")
+    if not fs.exists(path(target)) and fs.exists(old):
+        fs.rename(old, path(target))
+
+
+def swap_in(spark: SparkSession, version: str, target: str) -> None:
+    """Make a completely written version the table: two renames, no row is written again.
+
+    The old version stays beside the table until the new one is in place, and
+    ``finish_swap`` restores it if the job dies in between.
+    """
+    fs, path = _file_system(spark, target)
+    old = path(f"{target.rstrip('/')}__previous")
+    fs.delete(old, True)
+    if not fs.rename(path(target), old) or not fs.rename(path(version), path(target)):
+        finish_swap(spark, target)
+        raise OSError(f"{version} could not take the place of {target}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(target)
+
+
 def drop_partitions(spark: SparkSession, target: str, column: str, values: list) -> None:
     """Remove whole partitions: in the catalog, or by their folders. None names the NULL partition of a path table."""
     if not is_path(target):
@@ -53,9 +84,7 @@ def drop_partitions(spark: SparkSession, target: str, column: str, values: list)
                 spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = DATE '{v}')")
         spark.catalog.refreshTable(target)
         return
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, path = _file_system(spark, target)
     for v in values:
         fs.delete(path(f"{target}/{column}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"), True)
     spark.catalog.refreshByPath(target)
@@ -158,14 +187,15 @@ def merge_sql(target: str, source_view: str, columns: list[str], key: str, creat
 
 def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
            created_col: str = "etl_created_date", fmt: str = "parquet",
-           partition_by: str | None = None) -> None:
+           partition_by: str | None = None, unique: bool = False) -> None:
     """MERGE INTO ... WHEN MATCHED UPDATE (all but created) WHEN NOT MATCHED INSERT.
 
-    Table formats with MERGE get MERGE; plain file tables get the same result
-    staged in the shared folder, then swapped in (a table cannot be overwritten
-    while it is being read).
+    Table formats with MERGE get MERGE; a plain file table gets the same result
+    written once beside it and swapped in, so it is whole at every moment. Source
+    keys are checked unless the caller knows that they are ``unique``.
     """
-    check_unique(source, key)
+    if not unique:
+        check_unique(source, key)
     if not target_exists(spark, target, fmt):
         write_table(source, target, partition_by=partition_by, fmt=fmt)
         return
@@ -175,6 +205,11 @@ def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
         spark.sql(merge_sql(target, view, source.columns, key, created_col))
         return
     merged = upsert_frame(read_target(spark, target, fmt, ddl(source)), source, key, created_col)
+    if is_path(target):
+        version = f"{target.rstrip('/')}__next-{uuid.uuid4().hex[:12]}"
+        write_table(merged, version, partition_by=partition_by, fmt=fmt)
+        swap_in(spark, version, target)
+        return
     stage = scratch_path(spark, "upsert-stage")
     write_table(merged, stage, partition_by=partition_by, fmt=fmt)
     staged = read_target(spark, stage, fmt, ddl(source))

@@ -44,4 +44,5 @@ def load_dim(spark: SparkSession, frame: DataFrame, target: str, key: str, cfg:
     if cfg.full_load:
         sinks.write_full(frame, target, cfg.table_format)
     else:
-        sinks.upsert(spark, frame, target, key, "etl_created_date", cfg.table_format)
+        # frames of clean tables have one row per key
+        sinks.upsert(spark, frame, target, key, "etl_created_date", cfg.table_format, unique=True)

@@ -151,3 +151,13 @@ def test_jdbc_reads_are_always_split():
     for args in ((None, None, None, None, None, None, None), (None, None, None, "id", None, 5, None)):
         with pytest.raises(ValueError):
             jdbc.split_options(*args)
+
+
+def test_broken_swap_is_put_right(spark):
+    """A job that dies between the two renames leaves the previous version; the next look restores it."""
+    import os
+    p = scratch_path(spark, "t-swap")
+    spark.range(3).write.parquet(p)
+    os.rename(p.removeprefix("file:"), p.removeprefix("file:") + "__previous")
+    assert sinks.target_exists(spark, p)
+    assert spark.read.parquet(p).count() == 3
