@@ -34,4 +34,64 @@ SELECT d.doc_id, d.size, b.source_size, b.target, CAST(d.size * (b.passes + b.ag
 FROM d JOIN b USING (src, block)
 """
 
-ORACLES = {"op5_mix_sources": MIX}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DEDUP = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+        ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+      FROM d),
+n AS (SELECT r, doc_id, len(g) AS n FROM s),
+e AS (SELECT r, unnest(g) AS g FROM s),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+link AS (SELECT x, y FROM common JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+reach AS (SELECT r AS x, r AS y FROM n UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.component_id, n.doc_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM n JOIN (SELECT reach.x, min(n.doc_id) AS component_id FROM reach JOIN n ON n.r = reach.y GROUP BY reach.x) c ON c.x = n.r
+"""
+
+DECONTAMINATE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+iw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, k, array_to_string(w[p:p + k - 1], ' ') AS win FROM (
+         SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+         FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, k, p, array_to_string(w[p:p + k - 1], ' ') AS win FROM (
+         SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d JOIN (SELECT DISTINCT k FROM iw) ON len(w) >= k)),
+hit AS (SELECT r, p, dw.k, item FROM dw JOIN iw ON dw.win = iw.win AND dw.k = iw.k),
+words AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + k)) AS q FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS t FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.t, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
+"""
+
+# CRC-32 by its rule: a table of 256 remainders, then one step per byte
+_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), "
+              "lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+SHARD = rf"""
+WITH t AS (SELECT {_CRC_TABLE} AS crc),
+d AS (
+  SELECT doc_id, coalesce('=' || source, '~null') AS src, strlen(coalesce(text, '')) + 16 AS size, hex(coalesce(text, '')) AS x,
+         {_H60.format("concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), '~null'))")} AS h FROM documents),
+c AS (SELECT doc_id, src, size, h, xor(list_reduce(list_concat([4294967295], list_transform(range(0, CAST(len(x) / 2 AS BIGINT)),
+           lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+           lambda a, b: xor(a >> 8, t.crc[xor(a, b) % 256 + 1])), 4294967295) AS text_crc32 FROM d, t),
+f AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 + 0.5::DOUBLE)
+         / count(*) OVER (PARTITION BY src) AS f FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY f, src, h, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos, count(*) OVER () AS n FROM f),
+s AS (SELECT *, pos * 40 // n AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(pos - (shard * n + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""
+
+ORACLES = {"op2_min_max_dedup": DEDUP, "op5_mix_sources": MIX, "op6_winnowing": DECONTAMINATE, "op7_stratified_shards": SHARD}
