@@ -30,7 +30,7 @@ import json
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from huddle.llm.common import hash60, source_key
+from huddle.llm.common import hash60, source_key, stage_table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -120,12 +120,12 @@ def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def draw_table(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_id", text_col: str = "text",
-               source_col: str = "source", seed: int = SEED, blocks: int = BLOCKS,
+def draw_table(sizes: DataFrame, n_shards: int = N_SHARDS, *, seed: int = SEED, blocks: int = BLOCKS,
                weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per source: its size and target, and for each block the shards that draw it."""
-    spark = docs.sparkSession
-    draws = block_draws(word_counts(docs, id_col, text_col, source_col, seed, blocks), seed, weights, cap)
+    spark = sizes.sparkSession
+    # staged: one row per drawn block, read for the quotas and for the draws
+    draws = stage_table(spark, block_draws(sizes, seed, weights, cap), "mix-draws")
     quotas = draws.groupBy("__src").agg(F.sum("__draws").alias("q")).orderBy("__src").collect()  # one row per source
     split = split_quotas([r["q"] for r in quotas], n_shards, seed)
     bounds = [{"__src": r["__src"], "__upto": np.cumsum(split[:, i]).tolist()} for i, r in enumerate(quotas)]
@@ -153,8 +153,9 @@ def mix_report(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_
     the last source; rows that share an id share a block; without any words all
     targets are 0; an empty table gives an empty result. Extra columns are ignored.
     """
-    table = draw_table(docs, n_shards, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, blocks=blocks)
-    sizes = word_counts(docs, id_col, text_col, source_col, seed, blocks)
+    # staged: ids and numbers, so that the texts are read and cut into words once
+    sizes = stage_table(docs.sparkSession, word_counts(docs, id_col, text_col, source_col, seed, blocks), "mix-sizes")
+    table = draw_table(sizes, n_shards, seed=seed, blocks=blocks)
     times = F.coalesce(F.size(F.element_at("__drawn", F.col("__block") + 1)), F.lit(0))
     return sizes.join(table, "__src").select(
         "doc_id", "size", "source_size", "target",
@@ -169,7 +170,7 @@ def mix_documents(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "d
 
     ``layout=True`` also moves each output shard together and shuffles it locally.
     """
-    table = draw_table(docs, n_shards, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, blocks=blocks)
+    table = draw_table(word_counts(docs, id_col, text_col, source_col, seed, blocks), n_shards, seed=seed, blocks=blocks)
     keyed = docs.select(F.struct("*").alias("__row"), source_key(source_col).alias("__src"), F.col(id_col).alias("__id"),
                         (hash60(F.lit(seed), id_col) % blocks).cast("int").alias("__block"))
     rows = keyed.join(table.select("__src", "__drawn"), "__src")
