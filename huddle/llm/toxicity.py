@@ -116,16 +116,29 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: int = 12) -> np.ndarray:
-    """Weights (intercept last) of a ridge logistic regression, by Newton steps."""
-    x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    beta = np.zeros(x1.shape[1])
-    penalty = np.full(x1.shape[1], ridge)
+def _blocks(x: np.ndarray, more: np.ndarray, rows: np.ndarray, size: int = 1024):
+    """Row blocks of the design matrix (terms, further columns, intercept) in double precision: the
+    whole matrix is held once, in single precision."""
+    for at in range(0, len(rows), size):
+        r = rows[at:at + size]
+        yield r, np.concatenate([x[r].astype(np.float64), more[r], np.ones((len(r), 1))], axis=1)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: int = 12,
+                 more: np.ndarray | None = None, rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights (intercept last) of a ridge logistic regression over ``rows``, by Newton steps."""
+    more = np.zeros((len(x), 0)) if more is None else more
+    rows = np.arange(len(x)) if rows is None else rows
+    d = x.shape[1] + more.shape[1] + 1
+    beta = np.zeros(d)
+    penalty = np.full(d, ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        p = sigmoid(x1 @ beta)
-        grad = x1.T @ (w * (p - y)) + penalty * beta
-        hess = (x1 * (w * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x1 + np.diag(penalty)
+        grad, hess = penalty * beta, np.diag(penalty)
+        for r, z in _blocks(x, more, rows):
+            p = sigmoid(z @ beta)
+            grad += z.T @ (w[r] * (p - y[r]))
+            hess += (z * (w[r] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
         step = np.linalg.solve(hess, grad)
         beta -= step
         if np.abs(step).max() < 1e-3:
@@ -139,16 +152,18 @@ def logits(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
 
 def fit_chain(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
     """One weight vector per category; labels has one column per category, in chain order."""
-    betas, seen = [], x
+    betas, earlier = [], np.zeros((len(x), 0))
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(float)
-        betas.append(fit_logistic(seen, y, weight))
+        betas.append(fit_logistic(x, y, weight, more=earlier))
         if c + 1 < labels.shape[1]:
             held = np.zeros(len(x))
             for f in np.unique(folds):
-                out = folds == f
-                held[out] = logits(seen[out], fit_logistic(seen[~out], y[~out], weight[~out]) if (~out).any() else betas[-1])
-            seen = np.concatenate([seen, held[:, None]], axis=1)
+                rest = np.flatnonzero(folds != f)
+                beta = fit_logistic(x, y, weight, more=earlier, rows=rest) if len(rest) else betas[-1]
+                for r, z in _blocks(x, earlier, np.flatnonzero(folds == f)):
+                    held[r] = logits(z[:, :-1], beta)
+            earlier = np.concatenate([earlier, held[:, None]], axis=1)
     return betas
 
 
@@ -190,11 +205,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                        "x binary, hits bigint, words bigint, label int, fold bigint").toArrow())
     if not got.num_rows:
         return {"terms": terms, "betas": []}
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), "<f4").reshape(got.num_rows, -1).astype(np.float64)
+    x = np.empty((got.num_rows, 2 * len(terms) + 1), np.float32)
+    at = 0
+    for b in got.to_batches(max_chunksize=512):
+        x[at:at + b.num_rows] = np.frombuffer(b"".join(b.column(0).to_pylist()), "<f4").reshape(b.num_rows, -1)
+        at += b.num_rows
     col = {c: got.column(c).to_numpy() for c in ("hits", "words", "label", "fold")}
     order = np.lexsort((*x.T[:8], col["words"], col["fold"]))  # the same fit however the rows arrive
     y = category_labels(col["label"], col["hits"], col["words"])
-    return {"terms": terms, "betas": fit_chain(x[order], y[order], share[col["label"]][order], col["fold"][order])}
+    del got
+    x = x[order]
+    return {"terms": terms, "betas": fit_chain(x, y[order], share[col["label"]][order], col["fold"][order])}
 
 
 def _scorer(model: dict):
