@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from huddle.session import scratch_path
 
 MEMO_ENTRIES = 400_000
+HASH_ENTRIES = 150_000  # a word's hash is cheap to make again
 
 
 class Memo(dict):
@@ -29,7 +30,7 @@ class Memo(dict):
         return value
 
 
-def hash_memo(limit: int = MEMO_ENTRIES) -> Memo:
+def hash_memo(limit: int = HASH_ENTRIES) -> Memo:
     """64-bit hashes of words."""
     return Memo(xxhash.xxh64_intdigest, limit)
 
