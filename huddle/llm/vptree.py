@@ -11,7 +11,9 @@ A query walks the nearer side first and skips the other one when the triangle
 inequality shows it to be farther than the k-th best so far, ``|d - median| >
 factor * tau``. Factor 1 is exact; smaller factors prune more and may miss.
 Queries walk a tree together in blocks, so every distance computation is a matrix
-product. Shard results are merged by a window over (query), k rows from each shard.
+product. A product only sorts out what lies below the best so far by more than its
+rounding error; every other row is scored exactly, however many are that close.
+Shard results are merged by a window over (query), the best classes of each shard.
 
 Scale: trees are written to the shared folder once, as one row per shard, and
 joined to (shard, query block) pairs by shard; neither trees nor queries are
@@ -21,6 +23,7 @@ broadcast or collected. More shards and more query blocks mean more tasks.
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,7 @@ FACTOR = 1.0
 SHARD_ROWS = 8192
 LEAF_ROWS = 256
 QUERY_BLOCK = 512
-SPARE = 8  # candidates kept beyond k, for near-ties that only the exact measure orders
-SLACK = 1e-7
+PAIR_CELLS = 1 << 21  # numbers of one side in one block of exact scores
 SEED = 7
 
 
@@ -83,26 +85,54 @@ def build_tree(unit: np.ndarray, leaf_rows: int = LEAF_ROWS, seed: int = SEED) -
     return build(np.arange(len(unit)))
 
 
-class Search:
-    """The best ``keep`` rows of one shard for a block of queries."""
+def rounding(dim: int) -> float:
+    """How far two cosines can be apart in a matrix product of normalised vectors and yet be
+    in the other order (or equal) in exact_cosine: twice the error bounds of both."""
+    return 8.0 * (dim + 4) * np.finfo(np.float64).eps
+
 
-    def __init__(self, unit: np.ndarray, queries: np.ndarray, keep: int, kth: int, factor: float):
-        self.unit, self.q, self.keep, self.kth, self.factor = unit, queries, keep, kth, factor
+class Search:
+    """The best ``keep`` rows of one shard for a block of queries, by exact cosine and then
+    by ``order`` (smaller first; row numbers if not given)."""
+
+    def __init__(self, vec: np.ndarray, queries: np.ndarray, keep: int, kth: int, factor: float,
+                 order: np.ndarray | None = None):
+        self.vec, self.queries, self.unit, self.q = vec, queries, normalised(vec), normalised(queries)
+        self.keep, self.kth, self.factor = keep, kth, factor
+        self.order = np.arange(len(vec)) if order is None else order
         self.cos = np.full((len(queries), keep), -np.inf)
         self.row = np.full((len(queries), keep), -1, np.int64)
+        self.near = rounding(vec.shape[1])
+        # chords of both sides and tau are off by at most sqrt(near) each, near-ties lie sqrt(2 near) beyond tau
+        self.slack = 5.0 * np.sqrt(self.near)
         self.leaf_pairs = 0
 
     def tau(self, who: np.ndarray) -> np.ndarray:
         """Distance of the k-th best so far; infinite until there are k."""
         return chord(np.maximum(self.cos[who, self.kth], -2.0)) + np.where(np.isinf(self.cos[who, self.kth]), np.inf, 0.0)
 
+    def exact(self, who: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        step = max(1, PAIR_CELLS // self.vec.shape[1])
+        parts = [exact_cosine(self.queries[who[i:i + step]], self.vec[rows[i:i + step]]) for i in range(0, len(who), step)]
+        return np.concatenate(parts) if parts else np.empty(0)
+
     def leaf(self, rows: np.ndarray, who: np.ndarray) -> None:
-        cos = np.concatenate([self.cos[who], self.q[who] @ self.unit[rows].T], axis=1)
-        idx = np.concatenate([self.row[who], np.broadcast_to(rows, (len(who), len(rows)))], axis=1)
-        top = np.argpartition(-cos, self.keep - 1, axis=1)[:, :self.keep]
-        top = np.take_along_axis(top, np.argsort(-np.take_along_axis(cos, top, 1), axis=1, kind="stable"), 1)
-        self.cos[who], self.row[who] = np.take_along_axis(cos, top, 1), np.take_along_axis(idx, top, 1)
         self.leaf_pairs += len(who) * len(rows)
+        cos = self.q[who] @ self.unit[rows].T
+        bound = np.partition(np.concatenate([self.cos[who], cos], axis=1), -self.keep, axis=1)[:, -self.keep]
+        at, col = np.nonzero(cos >= (bound - self.near)[:, None])
+        if not len(at):
+            return
+        had_at, had_slot = np.nonzero(self.row[who] >= 0)
+        at, row, score = (np.concatenate(x) for x in (
+            (had_at, at), (self.row[who][had_at, had_slot], rows[col]),
+            (self.cos[who][had_at, had_slot], self.exact(who[at], rows[col]))))
+        best = np.lexsort((self.order[row], -score, at))
+        at, row, score = at[best], row[best], score[best]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        kept = place < self.keep
+        self.cos[who[at[kept]], place[kept]] = score[kept]
+        self.row[who[at[kept]], place[kept]] = row[kept]
 
     def walk(self, node: Node, who: np.ndarray) -> None:
         if not len(who):
@@ -117,7 +147,11 @@ class Search:
             group = who[mask]
             self.walk(first, group)
             if len(group):
-                self.walk(second, group[margin[mask] <= self.factor * self.tau(group) + SLACK])
+                self.walk(second, group[margin[mask] <= self.factor * self.tau(group) + self.slack])
+
+
+def normalised(vec: np.ndarray) -> np.ndarray:
+    return vec / np.sqrt((vec * vec).sum(axis=1))[:, None]
 
 
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,8 +174,10 @@ def plant_trees(found: DataFrame, n_shards: int, leaf_rows: int) -> DataFrame:
         order = np.lexsort(vec.T[::-1])  # the same tree however the rows arrive
         vec = vec[order]
         ids = [table.column("ids")[int(i)].as_py() for i in order]
-        unit = vec / np.sqrt((vec * vec).sum(axis=1))[:, None]
-        blob = pickle.dumps((vec, ids, build_tree(unit, leaf_rows)), protocol=pickle.HIGHEST_PROTOCOL)
+        by_id = np.empty(len(ids), np.int64)
+        by_id[sorted(range(len(ids)), key=lambda r: ids[r][0])] = np.arange(len(ids))
+        most = max(Counter(i for own in ids for i in own).values())
+        blob = pickle.dumps((vec, ids, by_id, most, build_tree(normalised(vec), leaf_rows)), protocol=pickle.HIGHEST_PROTOCOL)
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "dim": pa.array([key[1].as_py()], pa.int32()),
                          "tree": pa.array([blob], pa.binary())})
 
@@ -175,20 +211,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, *, id_c
     asked = usable_rows(queries, id_col, vec_col).dropDuplicates(["vec_id", "v"])
     work = query_blocks(asked, n_shards, query_block).join(trees, ["shard", "dim"]).select("tree", "q")
     id_type = found.schema["ids"].dataType.elementType
-    keep = k + 1 + SPARE
 
     def search(it):
         for b in batches(it, 1):
-            vec, ids, tree = pickle.loads(b.column(0)[0].as_py())
+            vec, ids, by_id, most, tree = pickle.loads(b.column(0)[0].as_py())
             q = b.column(1)[0].values
             qid, qv = q.field("vec_id"), _matrix(q.field("v"))
-            unit = vec / np.sqrt((vec * vec).sum(axis=1))[:, None]
-            s = Search(unit, qv / np.sqrt((qv * qv).sum(axis=1))[:, None], min(keep, len(vec)), min(k, len(vec) - 1), factor)
+            # an id has at most ``most`` vectors here, so these classes hold k ids besides the query's
+            keep = min(k * most + 1, len(vec))
+            s = Search(vec, qv, keep, keep - 1, factor, by_id)
             s.walk(tree, np.arange(len(qv)))
             out_q, out_v, score = [], [], []
             who, slot = np.nonzero(s.row >= 0)
-            rows = s.row[who, slot]
-            exact = exact_cosine(qv[who], vec[rows])
+            rows, exact = s.row[who, slot], s.cos[who, slot]
             names = qid.to_pylist()
             for w, r, c in zip(who.tolist(), rows.tolist(), exact.tolist()):
                 for i in ids[r]:

@@ -64,3 +64,26 @@ def test_few_candidates_and_empty_tables(spark):
     assert run(df, 50) == [(0, 1, 2, 1.0), (0, 2, 1, 0.0)]
     assert vptree.nearest(df.limit(0), df.limit(0)).count() == 0
     assert vptree.nearest(df, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("leaf_rows", [256, 16])
+def test_many_near_equal_and_scaled_vectors(spark, leaf_rows):
+    """Far more near-ties than k: only the exact cosine, then the id, orders them."""
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((2, 16)).astype(np.float32)
+    noisy = np.nextafter(base[0], rng.choice([-9, 9], (120, 16)).astype(np.float32))
+    scaled = base[1] * rng.uniform(0.1, 9, (120, 1)).astype(np.float32)
+    signs = rng.choice([-1.0, 1.0], (300, 6)) @ np.eye(6, 16)
+    v = np.concatenate([noisy, scaled, base[1] * 2.0 ** np.arange(-20, 20)[:, None], signs * rng.integers(1, 9, (300, 1))])
+    rows = [(int(i), [float(np.float32(y)) for y in x]) for i, x in zip(rng.permutation(len(v)), v)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(4)
+    got = run(df, 5, leaf_rows=leaf_rows, shard_rows=300)
+    want = brute(rows, range(0, len(v), 5), 5)
+    wrong = len({r[:3] for r in want} - {r[:3] for r in got})
+    assert wrong == 0, f"{wrong} of {len(want)} neighbours are wrong"
+
+
+def test_an_id_with_many_vectors_takes_one_place(spark):
+    rows = [(1, [1.0, i / 1000]) for i in range(40)] + [(i, [1.0, float(i)]) for i in range(2, 9)] + [(0, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert [r[:3] for r in run(df, 50)] == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4), (0, 5, 5)]
