@@ -1,7 +1,7 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
-1. Terms: hashed short words, the shapes of all words (as in ``Aa!!``), pairs of
-   neighbouring shapes, and bins of a text's own ratios (distinct words, repeats of
+1. Terms: all words, hashed (short and longer ones into ranges of their own), the whole
+   shapes of all words (as in ``Aa!!``), pairs of neighbouring shapes, and bins of a text's own ratios (distinct words, repeats of
    the previous word, short words, distinct lines, word length, size). Labels, language, source and id are never terms.
 2. Inverse document frequencies come from all documents (one pass, one partial
    histogram of ``DIM`` numbers per task).
@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from huddle.llm.common import Memo, batches, bounded_sample, held_out, text_bytes
 
-# term buckets: short words, word shapes, pairs of shapes, bins of the text's ratios
-WORD_DIM, SHAPES, PAIRS, BINS = 4096, 1024, 2900, 66
-BIN_DIM = WORD_DIM + SHAPES + PAIRS
+# term buckets: short words, word shapes, pairs of shapes, longer words, bins of the text's ratios
+WORD_DIM, SHAPES, PAIRS, LONG_DIM, BINS = 4096, 1024, 2900, 4096, 66
+LONG_AT = WORD_DIM + SHAPES + PAIRS
+BIN_DIM = LONG_AT + LONG_DIM
 DIM = BIN_DIM + BINS
-SHORT_WORD = 5  # bytes; longer words are an open class and count by their shape
-SHAPE_BYTES = 12
+SHORT_WORD = 5  # bytes; longer words are an open class, whose collisions are kept off the short ones
 AXES = 64
 MAX_LABELLED = 6000
 NEIGHBOURS = 25
@@ -59,20 +59,21 @@ class Terms:
     """Texts to sparse term vectors (bucket numbers and weights before idf); one per Python worker."""
 
     def __init__(self):
-        self.words = Memo(lambda w: xxhash.xxh64_intdigest(w) % WORD_DIM)
-        self.shapes = Memo(lambda s: xxhash.xxh32_intdigest(s[:SHAPE_BYTES]) % SHAPES)
+        self.words = Memo(lambda w: xxhash.xxh64_intdigest(w) % WORD_DIM if len(w) <= SHORT_WORD
+                          else LONG_AT + xxhash.xxh64_intdigest(w) % LONG_DIM)
+        self.shapes = Memo(lambda s: xxhash.xxh32_intdigest(s) % SHAPES)
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         words = text.lower().split()
         n = len(words)
-        short = [w for w in words if len(w) <= SHORT_WORD]
+        short = sum(len(w) <= SHORT_WORD for w in words)
         shape = np.fromiter(map(self.shapes.__getitem__, shapes(text)), np.int64, n)
         pair = WORD_DIM + SHAPES + (shape[:-1] * 31 + shape[1:]) % PAIRS
-        ids, tf = np.unique(np.concatenate([np.fromiter(map(self.words.__getitem__, short), np.int64, len(short)),
+        ids, tf = np.unique(np.concatenate([np.fromiter(map(self.words.__getitem__, words), np.int64, n),
                                             WORD_DIM + shape, pair]), return_counts=True)
         lines = [x for x in text.split(b"\n") if x]
         again = sum(map(eq, words, islice(words, 1, None)))
-        ratios = ((len(set(words)) / n if n else 0.0), (again / n if n else 0.0), (len(short) / n if n else 0.0),
+        ratios = ((len(set(words)) / n if n else 0.0), (again / n if n else 0.0), (short / n if n else 0.0),
                   (len(set(lines)) / len(lines) if lines else 0.0), (min(1.0, len(text) / n / 20) if n else 0.0),
                   min(1.0, math.log1p(n) / 12))
         bins = np.array([BIN_DIM + 11 * i + int(10 * r) for i, r in enumerate(ratios)], np.int64)

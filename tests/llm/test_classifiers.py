@@ -64,6 +64,25 @@ def test_chain_feeds_out_of_fold_predictions():
     assert ((p[:, 1] >= 0.5) == second).mean() >= ((alone >= 0.5) == second).mean() - 0.01
 
 
+@pytest.mark.parametrize("first", ["a", "\u0430"])
+def test_quality_that_shows_only_in_longer_words(spark, first):
+    """Two vocabularies of lower-case words of one length and shape, Latin and Cyrillic."""
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(chr(ord(first) + c) for c in w) for w in rng.integers(0, 26, (400, 8))])
+    label = rng.integers(0, 2, 900)
+    texts = [" ".join(words[y * 200 + rng.integers(0, 200, 40)]) for y in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id bigint, quality int")
+    assert accuracy(quality.quality_report(docs, labels).collect(), labels, "quality") >= 0.95
+
+
+def test_shapes_are_whole():
+    same = b"a-0-a-0-a-0-a-0-a-"
+    terms = quality.Terms()
+    assert set(terms(same + b"A")[0].tolist()) != set(terms(same + b"0")[0].tolist())
+    assert terms.shapes[same + b"A"] != terms.shapes[same + b"0"]
+
+
 def test_vote_weights_by_similarity():
     cos = np.array([[0.9, 0.1, 0.1], [0.1, 0.9, 0.1], [-1.0, -1.0, -1.0]])
     p = quality.vote(cos, np.array([1, 0, 0]), np.ones(2), 0.3, 3)
