@@ -23,6 +23,7 @@ from huddle.operators import geo as G, keys as K, schema as S, sinks
 from huddle.plans import batch, clean, dims, facts, maintenance, metrics, quality, raw
 from huddle.session import prepare, scratch_path
 from huddle.sources import catalog, files
+from huddle.streaming.incremental import revalidate_clean
 
 # The probes read all dated rows of the fixtures; RANGE_CFG is for operators whose feature is a date range.
 PROBE_CFG = JobConfig(start_date="2023-12-22")
@@ -35,6 +36,9 @@ EARLY_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 LATE_TS = dt.datetime(2024, 3, 1, 0, 0, 0)
 SPLIT_DAY = "2024-01-20"
 RETENTION_CUTOFF = "2024-01-15"
+CHAIN_BASE_END = "2024-01-27"
+CHAIN_DAYS = ("2024-01-28", "2024-01-29")
+CHAIN_REST = "2024-01-30"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -892,6 +896,21 @@ def published(spark: SparkSession, sf: str) -> batch.Warehouse:
     return wh
 
 
+@probe("inc_chain")
+def inc_chain(spark, sf):
+    """The enriched fact of a base load, two daily runs, one for the days after them and revalidation:
+    what one full load gives. Teams, members and events of the later days are late parents of the earlier ones."""
+    src = {e: adapter.raw(spark, sf, e, p_date=False) for e in schemas.ENTITIES}
+    root, geo = scratch_path(spark, "inc-chain"), adapter.geo_boxes(spark, sf)
+    batch.run_batch(spark, PROBE_CFG.with_(end_date=CHAIN_BASE_END), src, geo, root=root)
+    rest = PROBE_CFG.with_(start_date=CHAIN_REST, full_load=False)
+    for cfg in (*map(JobConfig.for_day, CHAIN_DAYS), rest):
+        batch.run_batch(spark, cfg, src, geo, root=root)
+    wh = batch.Warehouse(spark, rest, root)
+    revalidate_clean(wh)
+    return out(wh.read("analytics", "f_events_enriched").drop("etl_created_date", "etl_updated_date"))
+
+
 @probe("dq_layer_parity")
 def dq_layer_parity(spark, sf):
     """Counts of stored layers: every table is written once and counted as it is."""

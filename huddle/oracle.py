@@ -438,6 +438,7 @@ GROUP BY ALL"""),
     "fct_event_rsvps": w("SELECT * FROM f_rsvps"),
     "fct_events_enriched": w("SELECT * FROM enriched"),
     "fct_event_rsvps_wide": w("SELECT * FROM wide"),
+    "inc_chain": w("SELECT * FROM enriched"),
     # 2.12
     "dq_count_parity": w("""SELECT 'teams' AS entity, count(*) AS source_rows, count(*) AS table_rows, TRUE AS ok
 FROM raw_teams

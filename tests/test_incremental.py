@@ -154,3 +154,9 @@ def test_aggregates_are_written(spark):
                          _boxes(spark, BOXES), root=scratch_path(spark, "t-a"))
     for name in ("membership_enriched", "weekly_monthly", "daily_active_teams", "new_vs_returning", "events_per_region", "dim_date"):
         assert wh.read("aggregates", name).count() > 0, name
+
+
+def test_chain_is_a_registered_query():
+    from huddle import inventory, oracle
+    assert "inc_chain" in inventory.queries()
+    assert oracle.oracle_sql()["inc_chain"] == oracle.oracle_sql()["fct_events_enriched"]
