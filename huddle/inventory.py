@@ -338,14 +338,22 @@ def prj_rename(spark, sf):
 
 @probe("prj_dim")
 def prj_dim(spark, sf):
-    """Every dimension's column list, with the rows and distinct keys it publishes."""
+    """Every dimension's own column list, with the rows and distinct keys it publishes."""
     c = chain(spark, sf)
     parts = [getattr(c, name).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("keys"))
-             .select(F.lit(name).alias("dim"), F.lit(", ".join(cols)).alias("columns"), "rows", "keys")
-             for name, (_, key, cols) in dims.DIMS.items()]
+             .select(F.lit(name).alias("dim"), F.lit(", ".join(getattr(c, name).columns)).alias("columns"), "rows", "keys")
+             for name, (_, key, _) in dims.DIMS.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@probe("prj_dim_rows")
+def prj_dim_rows(spark, sf):
+    """Every projected value of every dimension, one row per row of a dimension."""
+    c = chain(spark, sf)
+    parts = [getattr(c, name).withColumn("dim", F.lit(name)) for name in dims.DIMS]
+    return out(reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts))
+
+
 @probe("prj_fact")
 def prj_fact(spark, sf):
     """The fact's projection of every valid clean answer, without the run window."""

@@ -298,6 +298,9 @@ UNION ALL SELECT 'd_membership', 'membership_id, team_id, role_title, joined_at'
 FROM d_membership
 UNION ALL SELECT 'd_events', 'event_id, team_id, event_start, event_end, event_duration_minutes, has_location, latitude,'
   || ' longitude, created_at', count(*), count(DISTINCT event_id) FROM d_events"""),
+    "prj_dim_rows": w("""SELECT 'd_teams' AS dim, * FROM d_teams
+UNION ALL BY NAME SELECT 'd_membership' AS dim, * FROM d_membership
+UNION ALL BY NAME SELECT 'd_events' AS dim, * FROM d_events"""),
     "prj_fact": w("SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at, is_latest_response, p_date"
                   " FROM clean_rsvps WHERE is_valid_record", "clean"),
     "prj_drop": w("SELECT event_id, team_id, event_start, event_end, latitude, longitude, created_at, p_date,"

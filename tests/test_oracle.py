@@ -59,3 +59,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 251
     assert "event_attendance_rate" in df.columns
+
+
+def test_dim_projection_returns_every_projected_value(spark):
+    from huddle.plans import dims
+    df = E.queries()["prj_dim_rows"](spark, SF001)
+    assert set(df.columns) == {"dim"}.union(*(cols for _, _, cols in dims.DIMS.values()))
+    assert {r.dim for r in df.select("dim").distinct().collect()} == set(dims.DIMS)
