@@ -94,4 +94,50 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
 FROM s
 """
 
-ORACLES = {"op2_min_max_dedup": DEDUP, "op5_mix_sources": MIX, "op6_winnowing": DECONTAMINATE, "op7_stratified_shards": SHARD}
+def _field(c: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "{text}"))) + ")"
+_CRC_OF = ("xor(list_reduce(list_concat([4294967295], list_transform(range(0, CAST(strlen({x}) / 2 AS BIGINT)), "
+           "lambda i: CAST('0x' || substr({x}, 2 * i + 1, 2) AS BIGINT))), "
+           "lambda a, b: xor(a >> 8, t.crc[xor(a, b) % 256 + 1])), 4294967295)")
+_RUN = "array_to_string({nodes}[{at} // 3 * 3 + 1:{at} // 3 * 3 + {upto}], '')"
+
+# a level is one list; the siblings of a leaf are read off the lists of all levels of its tree
+MERKLE = rf"""
+WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crc),
+d AS (SELECT row_number() OVER () AS r, doc_id, source, {_LEAF.format(text="text")} AS leaf,
+             CASE WHEN {_CRC_OF.format(x="hex(CAST(doc_id AS VARCHAR))")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS bent_text,
+             lang, n_chars FROM documents, t),
+b AS (SELECT *, {_LEAF.format(text="bent_text")} AS bent, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth FROM d),
+lists AS (SELECT source, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                 list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS nodes FROM b GROUP BY source),
+low(tree, level, nodes) AS (
+  SELECT tree, 0, nodes FROM lists UNION ALL
+  SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+  FROM low WHERE len(nodes) > 1),
+subroots AS (SELECT tree, nodes[1] AS subroot FROM low WHERE len(nodes) = 1),
+high(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY tree) FROM subroots UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+  FROM high WHERE len(nodes) > 1),
+steps AS (
+  SELECT r, level, nth // CAST(pow(3, level) AS BIGINT) AS nth, low.nodes FROM b JOIN lists ON b.source IS NOT DISTINCT FROM lists.source
+    JOIN low USING (tree) WHERE len(low.nodes) > 1 UNION ALL
+  SELECT r, 100 + level, tree // CAST(pow(3, level) AS BIGINT), high.nodes FROM b JOIN lists ON b.source IS NOT DISTINCT FROM lists.source, high
+    WHERE len(high.nodes) > 1),
+sides AS (SELECT r, level, {_RUN.format(nodes="nodes", at="nth", upto="nth % 3")} AS before,
+                 array_to_string(nodes[nth + 2:nth // 3 * 3 + 3], '') AS after FROM steps),
+paths AS (SELECT r, string_agg(before || after, '' ORDER BY level) AS proof, list(before || '|' || after ORDER BY level) AS path
+          FROM sides GROUP BY r),
+out AS (
+  SELECT doc_id, b.source, leaf, subroot, (SELECT nodes[1] FROM high WHERE len(nodes) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce(list_concat([bent], coalesce(path, [])),
+                     lambda acc, s: sha256(split_part(s, '|', 1) || acc || split_part(s, '|', 2))) AS folded_root, nth AS position
+  FROM b JOIN lists ON b.source IS NOT DISTINCT FROM lists.source JOIN subroots USING (tree) LEFT JOIN paths USING (r))
+SELECT *, folded_root = root AS verified FROM out
+"""
+
+ORACLES = {"op2_min_max_dedup": DEDUP, "op5_mix_sources": MIX, "op6_winnowing": DECONTAMINATE, "op7_stratified_shards": SHARD,
+           "op13_merkle_manifest": MERKLE}

@@ -76,6 +76,11 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_docs(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import merkle
+    return merkle.manifest(_docs(spark, sf_dir))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship_package(spark), sf_dir)
 
