@@ -76,6 +76,11 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_docs(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import order_minhash
+    return order_minhash.edit_report(_docs(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import merkle
     return merkle.manifest(_docs(spark, sf_dir))

@@ -1,0 +1,131 @@
+"""Order MinHash fingerprints against a version in plain Python."""
+
+import hashlib
+import random
+import re
+import struct
+from collections import Counter
+
+import xxhash
+
+from huddle.llm import order_minhash as M
+from tests.llm.conftest import edge_rows, frame, words
+
+HIGH = 0xFFFFFFFF00000000
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def xx(parts, seed=42):
+    for p in parts:
+        b = p if isinstance(p, bytes) else struct.pack("<q", p[0]) if isinstance(p, tuple) else struct.pack("<i", p)
+        seed = xxhash.xxh64_intdigest(b, seed)
+    return seed
+
+
+def tokens(text):
+    out = []
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text):
+        # Java counts UTF-16 units, the same as code points for the texts here
+        out += [run[:16], *run[16:]] if len(run) > 16 else [run]
+    return out
+
+
+def sketch(text):
+    """Every step as the definition reads: number all k-mers, sort each bin, take its two smallest."""
+    h = [signed(xx([t.encode()])) for t in tokens(text)]
+    if not h:
+        return set()
+    grams = [xx([(v,) for v in h[i:i + M.K]]) & HIGH for i in range(max(1, len(h) - M.K + 1))]
+    seen, bins = Counter(), {}
+    for at, g in enumerate(grams):
+        top = signed(g) >> 32
+        v = g if not seen[g] else xx([(top,), seen[g]]) & HIGH
+        seen[g] += 1
+        bins.setdefault(v >> 58, []).append((v, at))
+    out = set()
+    for b, members in bins.items():
+        picks = sorted(sorted(members)[:M.PICKS], key=lambda m: m[1])
+        out.add((b << 26 | xx([(signed(v) >> 32,) for v, _ in picks]) >> 38))
+    return out
+
+
+def text_of(s):
+    return "".join(f"{v:08x}" for v in sorted(s))
+
+
+def alike(a, b):
+    both = {x >> 26 for x in a} | {x >> 26 for x in b}
+    return len(a & b) / len(both) if both else 1.0
+
+
+def brute(rows):
+    """Sorted result rows; rows are (id, text)."""
+    order = sorted(((d is not None, d or 0, signed(xx([(t or "").encode()])), t or "") for d, t in rows), key=lambda r: r[:3])
+    out = []
+    for i, (known, d, _, t) in enumerate(order):
+        nxt = order[(i + 1) % len(order)][3]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        a, b = sketch(t), sketch(edited)
+        out.append((known, d, len(t), hashlib.sha256(edited.encode()).hexdigest(), text_of(a), text_of(b),
+                    round(alike(a, b), 9), round(alike(a, sketch(nxt)), 9)))
+    return sorted(out)
+
+
+def got(df):
+    return sorted((r.doc_id is not None, r.doc_id or 0, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint,
+                   round(r.near_edited, 9), round(r.near_next, 9)) for r in df.collect())
+
+
+def random_texts(n):
+    rng = random.Random(4)
+    texts = [" ".join(words(rng, rng.randrange(1, 300))) for _ in range(n)]
+    texts += [" ".join(rng.choices("abc", k=rng.randrange(1, 200))) for _ in range(n)]  # many repeated k-mers
+    texts += ["x" * k for k in (1, 15, 16, 17, 18, 40)] + ["漢字" * 30 + " kana " + "ä" * 50, " ", "", "\n\ta"]
+    texts += texts[:5]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_fingerprints_equal_plain_version(spark):
+    texts = random_texts(40)
+    assert got(M.edit_report(frame(spark, texts))) == brute(list(enumerate(texts)))
+
+
+def test_neighbours_across_ranges(spark):
+    texts = random_texts(15)
+    rng = random.Random(6)
+    ids = [rng.choice([None, 5, 5, 5, -9, 10 ** 12, i]) for i in range(len(texts))]  # repeated and null ids
+    rows = list(zip(ids, texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for parts in (1, 2, 9, 40):
+        assert got(M.edit_report(df, parts=parts)) == brute(rows), parts
+
+
+def test_order_matters_and_edits_show(spark):
+    rng = random.Random(9)
+    w = [f"w{i}" for i in range(400)]
+    swapped = w[200:] + w[:200]  # nearly the same set of k-mers in another order
+    one = w[:50] + ["new"] + w[51:]
+    texts = [" ".join(x) for x in (w, swapped, one, w)] + [" ".join(words(rng, 400, "q"))]
+    s = [sketch(t) for t in texts]
+    rows = {r.doc_id: r.sketch for r in M.sketches(frame(spark, texts)).collect()}
+    assert [{v + 2 ** 31 for v in rows[i]} for i in range(5)] == s
+    assert alike(s[0], s[3]) == 1.0 and alike(s[0], s[2]) > 0.85 and alike(s[0], s[4]) == 0.0
+    assert 0.2 < alike(s[0], s[1]) < alike(s[0], s[2]) - 0.1
+
+
+def test_edges(spark, edge, empty):
+    assert got(M.edit_report(edge)) == brute([(r[0], r[1]) for r in edge_rows()])
+    assert M.edit_report(empty).count() == 0 and M.edit_report(empty).columns == M.edit_report(edge).columns
+    only = M.edit_report(frame(spark, ["a b c d e f"])).first()
+    assert only.near_next == 1.0 and only.n_chars == 11
+    assert M.edit_report(frame(spark, [None])).first().near_edited == 1.0
+
+
+def test_native(spark, edge):
+    plan = M.edit_report(edge)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
