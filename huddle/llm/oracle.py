@@ -139,5 +139,27 @@ out AS (
 SELECT *, folded_root = root AS verified FROM out
 """
 
+# near words by their spellings with one letter left out: alike at one place, or one the other's
+VARIANTS = rf"""
+WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crc),
+occ AS (SELECT doc_id, run, count(*) AS n FROM (
+          SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY doc_id, run),
+h AS (SELECT run, n, {_CRC_OF.format(x="hex(CAST(doc_id AS VARCHAR) || ':' || run)")} AS h FROM occ, t WHERE length(run) >= 5),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (
+          SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w)),
+near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+         UNION SELECT c.word, w.word, w.n FROM cut c JOIN w ON c.rest = w.word
+         UNION SELECT w.word, c.word, c.n FROM cut c JOIN w ON c.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+             CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n FROM w LEFT JOIN best USING (word)),
+chain(word, last) AS (SELECT word, word FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.last AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain USING (word) JOIN f e ON e.word = chain.last AND e.form IS NULL
+"""
+
 ORACLES = {"op2_min_max_dedup": DEDUP, "op5_mix_sources": MIX, "op6_winnowing": DECONTAMINATE, "op7_stratified_shards": SHARD,
-           "op13_merkle_manifest": MERKLE}
+           "op12_spelling_variants": VARIANTS, "op13_merkle_manifest": MERKLE}

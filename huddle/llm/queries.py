@@ -81,6 +81,11 @@ def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_report(_docs(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from huddle.llm import variants
+    return variants.variant_report(_docs(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from huddle.llm import merkle
     return merkle.manifest(_docs(spark, sf_dir))
