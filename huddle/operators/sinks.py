@@ -187,9 +187,11 @@ def merge_sql(target: str, source_view: str, columns: list[str], key: str, creat
 
 def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
            created_col: str = "etl_created_date", fmt: str = "parquet",
-           partition_by: str | None = None, unique: bool = False) -> None:
+           partition_by: str | None = None, unique: bool = False, gone: DataFrame | None = None) -> None:
     """MERGE INTO ... WHEN MATCHED UPDATE (all but created) WHEN NOT MATCHED INSERT.
 
+    Keys of ``gone`` (a frame of the key column, none of them in the source) are deleted.
+
     Table formats with MERGE get MERGE; a plain file table gets the same result
     written once beside it and swapped in, so it is whole at every moment. Source
     keys are checked unless the caller knows that they are ``unique``.
@@ -203,8 +205,14 @@ def upsert(spark: SparkSession, source: DataFrame, target: str, key: str,
         view = f"__upsert_src_{uuid.uuid4().hex}"
         source.createOrReplaceTempView(view)
         spark.sql(merge_sql(target, view, source.columns, key, created_col))
+        if gone is not None:
+            gone.select(key).createOrReplaceTempView(view)
+            spark.sql(f"MERGE INTO {target} t USING {view} s ON t.{key} = s.{key} WHEN MATCHED THEN DELETE")
         return
-    merged = upsert_frame(read_target(spark, target, fmt, ddl(source)), source, key, created_col)
+    stored = read_target(spark, target, fmt, ddl(source))
+    if gone is not None:
+        stored = stored.join(gone.select(key), key, "left_anti").select(*stored.columns)
+    merged = upsert_frame(stored, source, key, created_col)
     if is_path(target):
         version = f"{target.rstrip('/')}__next-{uuid.uuid4().hex[:12]}"
         write_table(merged, version, partition_by=partition_by, fmt=fmt)

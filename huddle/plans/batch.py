@@ -111,6 +111,7 @@ def run_clean(wh: Warehouse) -> None:
     """Each clean table is written before the next one validates against it.
     FK probes read the whole stored clean table, not just the window."""
     from huddle.streaming.incremental import merge_keyed_day, merge_rsvp_day
+    from huddle.streaming.retraction import follow
 
     cfg, incr = wh.cfg, not wh.cfg.full_load
 
@@ -118,6 +119,8 @@ def run_clean(wh: Warehouse) -> None:
         table = CLEAN_TABLES[entity]
         if incr and wh.exists("clean", table):
             merge_keyed_day(wh, table, key, prepare(_raw(wh, entity), cfg), validate)
+            if table != "clean_teams":
+                follow(wh, table)
         else:
             wh.write(validate(prepare(_raw(wh, entity), cfg)), "clean", table, "p_date", dynamic=incr)
 
@@ -127,6 +130,7 @@ def run_clean(wh: Warehouse) -> None:
     run("events", "event_id", clean.prepare_events, lambda d: clean.validate_events(d, teams))
     if incr and wh.exists("clean", "clean_events_rsvps"):
         merge_rsvp_day(wh)
+        follow(wh, "clean_events_rsvps")
     else:
         rsvps = clean.clean_event_rsvps(_raw(wh, "event_rsvps"), wh.read("clean", "clean_membership"),
                                         wh.read("clean", "clean_events"), cfg)
@@ -134,10 +138,19 @@ def run_clean(wh: Warehouse) -> None:
 
 
 def run_dims(wh: Warehouse) -> None:
+    from huddle.streaming import retraction
+
     for dim, (src, key, cols) in dims.DIMS.items():
-        # rows of a key that was delivered again may sit in another partition than the window's
-        frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg, extra_dates=wh.touched.get(src))
-        dims.load_dim(wh.spark, frame, wh.target("analytics", dim), key, wh.cfg)
+        gone = None
+        if wh.cfg.full_load:
+            frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg)
+        else:
+            # a changed key's row may sit in another partition than the window's
+            changes = retraction.noted(wh, src)
+            dates = [*(wh.touched.get(src) or []), *([] if changes is None else [r[0] for r in changes.select("p_date").distinct().collect()])]
+            frame = dims.dim_frame(wh.read("clean", src), cols, wh.cfg, extra_dates=dates)
+            frame, gone = retraction.dimension_changes(wh, src, key, frame)
+        dims.load_dim(wh.spark, frame, wh.target("analytics", dim), key, wh.cfg, gone)
         wh.forget(wh.target("analytics", dim))
 
 
@@ -202,12 +215,15 @@ def check_published(wh: Warehouse) -> None:
 def run_batch(spark: SparkSession, cfg: JobConfig, sources: dict[str, DataFrame] | None = None,
               geo: DataFrame | None = None, root: str | None = None) -> Warehouse:
     """One run: load raw (when sources are given), then clean, dims, facts."""
+    from huddle.streaming.retraction import settle
+
     wh = Warehouse(spark, cfg, root)
     if sources is not None:
         load_raw(wh, sources, geo)
     run_clean(wh)
     run_dims(wh)
     run_facts(wh)
+    settle(wh)
     publish_views(wh)
     run_aggregates(wh)
     if cfg.quality_gate:

@@ -39,10 +39,10 @@ def dim_events(clean: DataFrame, cfg: JobConfig, audit: bool = True) -> DataFram
     return dim_frame(clean, schemas.D_EVENTS, cfg, audit)
 
 
-def load_dim(spark: SparkSession, frame: DataFrame, target: str, key: str, cfg: JobConfig) -> None:
-    """First load overwrites; later loads upsert on the key (created date kept)."""
+def load_dim(spark: SparkSession, frame: DataFrame, target: str, key: str, cfg: JobConfig, gone: DataFrame | None = None) -> None:
+    """First load overwrites; later loads upsert on the key (created date kept) and delete the keys of ``gone``."""
     if cfg.full_load:
         sinks.write_full(frame, target, cfg.table_format)
     else:
         # frames of clean tables have one row per key
-        sinks.upsert(spark, frame, target, key, "etl_created_date", cfg.table_format, unique=True)
+        sinks.upsert(spark, frame, target, key, "etl_created_date", cfg.table_format, unique=True, gone=gone)

@@ -81,6 +81,7 @@ STORED = {
     "clean_events": f"{_EVENT}, is_valid_team_id boolean, is_valid_timestamps boolean, {_CHECKED}, p_date date",
     "clean_events_rsvps": f"{_RSVP}, rsvp_response string, is_valid_event_id boolean, is_valid_membership_id boolean, "
                           f"is_valid_rsvp boolean, {_CHECKED}, p_date date",
+    **{f"changes_{t}": "key string, p_date date" for t in ("clean_teams", "clean_membership", "clean_events", "clean_events_rsvps")},
     "d_teams": f"team_id string, team_activity string, country_code string, created_at timestamp, {_AUDIT}",
     "d_membership": f"membership_id string, team_id string, role_title string, joined_at timestamp, {_AUDIT}",
     "d_events": f"{_EVENT}, {_AUDIT}",
