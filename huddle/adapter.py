@@ -107,3 +107,39 @@ def raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     out = {e: raw(spark, sf_dir, e) for e in _BUILDERS}
     out["geo_boxes"] = geo_boxes(spark, sf_dir)
     return out
+
+
+WITHDRAWN_DAY, REINSTATED_DAY = "2024-01-28", "2024-01-29"
+
+
+def with_withdrawals(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four entities (without p_date) with parents delivered again: withdrawn on one day, every second
+    of them valid again on the next. A later row takes the place of an earlier one by sorting before it."""
+    src = {e: raw(spark, sf_dir, e, p_date=False) for e in _BUILDERS}
+
+    def day(d: str) -> Column:
+        return F.lit(d).cast("date").cast("timestamp")
+
+    def number(c: str) -> Column:
+        return F.col(c).cast("bigint")
+
+    t, m, e = src["teams"], src["memberships"], src["events"]
+    teams = [t.where(number("team_id") % n == 0).select("team_id", F.lit(a).alias("group_activity"), F.lit(c).alias("country_code"),
+                                                        day(d).alias("created_at"))
+             for n, a, c, d in ((7, "!withdrawn", "SWE", WITHDRAWN_DAY), (14, "!back", "NOR", REINSTATED_DAY))]
+    club = spark.range(1).select(F.lit(" club").alias("team_id"), F.lit("club").alias("group_activity"),
+                                 F.lit("NOR").alias("country_code"), day(REINSTATED_DAY).alias("created_at"))
+    members = [m.where(number("membership_id") % n == 0).select("membership_id", F.lit(g).alias("group_id"), "role_title",
+                                                                day(d).alias("joined_at"))
+               for n, g, d in ((11, "!none", WITHDRAWN_DAY), (22, " club", REINSTATED_DAY))]
+
+    def moved(n: int, days: int, length: str, d: str) -> DataFrame:
+        start = F.col("event_start") - F.expr(f"INTERVAL {days} DAYS")
+        return e.where(number("event_id") % n == 0).select(
+            "event_id", "team_id", start.alias("event_start"), (start + F.expr(f"INTERVAL {length} MINUTES")).alias("event_end"),
+            "latitude", "longitude", day(d).alias("created_at"))
+    events = [moved(13, 40, "-60", WITHDRAWN_DAY), moved(26, 50, "90", REINSTATED_DAY)]
+    for name, more in (("teams", [*teams, club]), ("memberships", members), ("events", events)):
+        for df in more:
+            src[name] = src[name].unionByName(df)
+    return src

@@ -20,7 +20,7 @@ from huddle import adapter, schemas
 from huddle.config import JobConfig
 from huddle.functions import exprs as X
 from huddle.operators import geo as G, keys as K, schema as S, sinks
-from huddle.plans import batch, clean, dims, facts, maintenance, metrics, quality, raw
+from huddle.plans import batch, clean, day_state, dims, facts, maintenance, metrics, quality, raw
 from huddle.session import prepare, scratch_path
 from huddle.sources import catalog, files
 from huddle.streaming.incremental import revalidate_clean
@@ -919,6 +919,42 @@ def inc_chain(spark, sf):
     return out(wh.read("analytics", "f_events_enriched").drop("etl_created_date", "etl_updated_date"))
 
 
+@probe("inc_retraction")
+def inc_retraction(spark, sf):
+    """Keys and states of all published tables after a base load, a day on which parents are withdrawn, one on which
+    half of them are valid again, and the days after: what one full load over all deliveries gives."""
+    src = adapter.with_withdrawals(prepare(spark), sf)
+    root, geo = scratch_path(spark, "inc-retraction"), adapter.geo_boxes(spark, sf)
+    batch.run_batch(spark, PROBE_CFG.with_(end_date=CHAIN_BASE_END), src, geo, root=root)
+    rest = PROBE_CFG.with_(start_date=CHAIN_REST, full_load=False)
+    for cfg in (*map(JobConfig.for_day, CHAIN_DAYS), rest):
+        wh = batch.run_batch(spark, cfg, src, geo, root=root)
+
+    def rows(table: str, key: str, *state: str) -> DataFrame:
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in state]
+        return wh.read("analytics", table).select(F.lit(table).alias("table_name"), F.col(key).alias("row_key"),
+                                                  F.concat_ws("|", *texts).alias("state"))
+    return reduce(DataFrame.unionByName, [
+        rows("d_teams", "team_id", "country_code", "team_activity"), rows("d_membership", "membership_id", "team_id"),
+        rows("d_events", "event_id", "team_id"),
+        rows("f_events_rsvps", "event_rsvp_id", "event_id", "membership_id", "rsvp_status", "is_latest_response"),
+        rows("f_events_enriched", "event_id", "event_date", "region", "total_rsvps", "accepted_rsvps")])
+
+
+@probe("agg_periods_from_days")
+def agg_periods_from_days(spark, sf):
+    """Weekly and monthly rollups from the stored days only, which two loads brought together; the second one
+    numbers new teams and replaces the days it touches."""
+    c = chain(spark, sf)
+    wh = batch.Warehouse(c.spark, PROBE_CFG, scratch_path(spark, "periods"))
+    enriched = c.enriched
+    days = [r[0] for r in enriched.select("event_date").distinct().collect()]  # one row a day
+    half = sorted(d for d in days if d is not None)[len(days) // 2:]
+    day_state.refresh(wh, enriched.where(~catalog.on_dates(half, "event_date")), None)
+    day_state.refresh(wh, enriched, [*half, *([None] if None in days else [])])
+    return out(day_state.weekly_monthly(wh.read("aggregates", day_state.STATE)))
+
+
 @probe("dq_layer_parity")
 def dq_layer_parity(spark, sf):
     """Counts of stored layers: every table is written once and counted as it is."""

@@ -180,6 +180,37 @@ wide AS (
   LEFT JOIN d_membership m ON f.membership_id = m.membership_id)"""
 
 
+def _again(day: str, col: str) -> str:
+    return f"CAST(DATE '{day}' AS TIMESTAMP) AS {col}, DATE '{day}' AS p_date"
+
+
+# the adapter with parents delivered again: withdrawn on one day, every second of them valid again on the next
+WITHDRAWALS = (ADAPTER.replace("raw_teams AS", "first_teams AS").replace("raw_memberships AS", "first_memberships AS")
+               .replace("raw_events AS", "first_events AS")) + f""",
+raw_teams AS (
+  SELECT * FROM first_teams
+  UNION ALL SELECT team_id, '!withdrawn', 'SWE', {_again('2024-01-28', 'created_at')} FROM first_teams WHERE CAST(team_id AS BIGINT) % 7 = 0
+  UNION ALL SELECT team_id, '!back', 'NOR', {_again('2024-01-29', 'created_at')} FROM first_teams WHERE CAST(team_id AS BIGINT) % 14 = 0
+  UNION ALL SELECT ' club', 'club', 'NOR', {_again('2024-01-29', 'created_at')}),
+raw_memberships AS (
+  SELECT * FROM first_memberships
+  UNION ALL SELECT membership_id, '!none', role_title, {_again('2024-01-28', 'joined_at')} FROM first_memberships
+    WHERE CAST(membership_id AS BIGINT) % 11 = 0
+  UNION ALL SELECT membership_id, ' club', role_title, {_again('2024-01-29', 'joined_at')} FROM first_memberships
+    WHERE CAST(membership_id AS BIGINT) % 22 = 0),
+raw_events AS (
+  SELECT * FROM first_events
+  UNION ALL SELECT event_id, team_id, event_start - INTERVAL 40 DAY, event_start - INTERVAL 40 DAY - INTERVAL 60 MINUTE,
+    latitude, longitude, {_again('2024-01-28', 'created_at')} FROM first_events WHERE CAST(event_id AS BIGINT) % 13 = 0
+  UNION ALL SELECT event_id, team_id, event_start - INTERVAL 50 DAY, event_start - INTERVAL 50 DAY + INTERVAL 90 MINUTE,
+    latitude, longitude, {_again('2024-01-29', 'created_at')} FROM first_events WHERE CAST(event_id AS BIGINT) % 26 = 0)"""
+
+
+def _state(table: str, cte: str, key: str, *cols: str) -> str:
+    texts = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"SELECT '{table}' AS table_name, {key} AS row_key, {texts} AS state FROM {cte}"
+
+
 def w(body: str, layers: str = "all", extra: str = "") -> str:
     """Prefix ``body`` with the CTE chain up to ``layers`` plus ``extra`` CTEs."""
     parts = [ADAPTER]
@@ -196,6 +227,17 @@ def rate(n: str, d: str) -> str:
     return f"CAST(round(CASE WHEN {d} > 0 THEN 100.0 * {n} / {d} ELSE 0 END, 2) AS DOUBLE)"
 
 
+PERIODS = w(f"""SELECT period, period_start, count(*) AS events, count(DISTINCT team_id) AS active_teams,
+  CAST(coalesce(sum(total_rsvps), 0) AS BIGINT) AS total_rsvps,
+  CAST(coalesce(sum(accepted_rsvps), 0) AS BIGINT) AS accepted_rsvps,
+  {rate("coalesce(sum(accepted_rsvps), 0)", "coalesce(sum(total_rsvps), 0)")} AS attendance_rate
+FROM (SELECT 'week' AS period, CAST(date_trunc('week', event_start) AS DATE) AS period_start, team_id, total_rsvps,
+             accepted_rsvps FROM enriched
+      UNION ALL
+      SELECT 'month', CAST(date_trunc('month', event_start) AS DATE), team_id, total_rsvps, accepted_rsvps
+      FROM enriched) x
+GROUP BY period, period_start""")
+
 ENTITY_COLUMNS = {
     "teams": [("team_id", "string"), ("group_activity", "string"), ("country_code", "string"),
               ("created_at", "timestamp")],
@@ -442,6 +484,12 @@ GROUP BY ALL"""),
     "fct_events_enriched": w("SELECT * FROM enriched"),
     "fct_event_rsvps_wide": w("SELECT * FROM wide"),
     "inc_chain": w("SELECT * FROM enriched"),
+    "inc_retraction": "WITH " + ",".join([WITHDRAWALS, CLEAN, PUBLISHED]) + "\n" + " UNION ALL ".join([
+        _state("d_teams", "d_teams", "team_id", "country_code", "team_activity"),
+        _state("d_membership", "d_membership", "membership_id", "team_id"),
+        _state("d_events", "d_events", "event_id", "team_id"),
+        _state("f_events_rsvps", "f_rsvps", "event_rsvp_id", "event_id", "membership_id", "rsvp_status", "is_latest_response"),
+        _state("f_events_enriched", "enriched", "event_id", "event_date", "region", "total_rsvps", "accepted_rsvps")]),
     # 2.12
     "dq_count_parity": w("""SELECT 'teams' AS entity, count(*) AS source_rows, count(*) AS table_rows, TRUE AS ok
 FROM raw_teams
@@ -512,16 +560,8 @@ FROM (SELECT x.activity_date, count(*) AS active_members,
 FULL OUTER JOIN (SELECT CAST(joined_at AS DATE) AS day, count(*) AS new_members FROM d_membership GROUP BY 1) j
   ON a.activity_date = j.day
 WHERE coalesce(a.activity_date, j.day) IS NOT NULL"""),
-    "agg_weekly_monthly": w(f"""SELECT period, period_start, count(*) AS events, count(DISTINCT team_id) AS active_teams,
-  CAST(coalesce(sum(total_rsvps), 0) AS BIGINT) AS total_rsvps,
-  CAST(coalesce(sum(accepted_rsvps), 0) AS BIGINT) AS accepted_rsvps,
-  {rate("coalesce(sum(accepted_rsvps), 0)", "coalesce(sum(total_rsvps), 0)")} AS attendance_rate
-FROM (SELECT 'week' AS period, CAST(date_trunc('week', event_start) AS DATE) AS period_start, team_id, total_rsvps,
-             accepted_rsvps FROM enriched
-      UNION ALL
-      SELECT 'month', CAST(date_trunc('month', event_start) AS DATE), team_id, total_rsvps, accepted_rsvps
-      FROM enriched) x
-GROUP BY period, period_start"""),
+    "agg_weekly_monthly": PERIODS,
+    "agg_periods_from_days": PERIODS,
     "dim_date": w("""SELECT CAST(d AS DATE) AS date, CAST(isodow(d) AS INTEGER) AS day_of_week,
   CAST(week(d) AS INTEGER) AS iso_week, CAST(date_trunc('week', d) AS DATE) AS week_start,
   CAST(month(d) AS INTEGER) AS month, CAST(date_trunc('month', d) AS DATE) AS month_start,

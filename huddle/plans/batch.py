@@ -110,7 +110,8 @@ def _raw(wh: Warehouse, entity: str) -> DataFrame:
 def run_clean(wh: Warehouse) -> None:
     """Each clean table is written before the next one validates against it.
     FK probes read the whole stored clean table, not just the window."""
-    from huddle.streaming.incremental import merge_keyed_day, merge_rsvp_day
+    from huddle.operators.locations import Locations
+    from huddle.streaming.incremental import merge_keyed_day, merge_rsvp_day, rsvp_locations
     from huddle.streaming.retraction import follow
 
     cfg, incr = wh.cfg, not wh.cfg.full_load
@@ -123,6 +124,7 @@ def run_clean(wh: Warehouse) -> None:
                 follow(wh, table)
         else:
             wh.write(validate(prepare(_raw(wh, entity), cfg)), "clean", table, "p_date", dynamic=incr)
+            Locations(wh, table, key).rebuild(wh.read("clean", table))
 
     run("teams", "team_id", clean.prepare_teams, lambda d: clean.validate_teams(d, cfg))
     teams = wh.read("clean", "clean_teams")
@@ -135,6 +137,8 @@ def run_clean(wh: Warehouse) -> None:
         rsvps = clean.clean_event_rsvps(_raw(wh, "event_rsvps"), wh.read("clean", "clean_membership"),
                                         wh.read("clean", "clean_events"), cfg)
         wh.write(rsvps, "clean", "clean_events_rsvps", "p_date", dynamic=incr)
+        for places in rsvp_locations(wh):
+            places.rebuild(wh.read("clean", "clean_events_rsvps"))
 
 
 def run_dims(wh: Warehouse) -> None:
@@ -189,14 +193,19 @@ def publish_views(wh: Warehouse) -> None:
 
 
 def run_aggregates(wh: Warehouse) -> None:
-    """The aggregates layer: period tables over the published facts, and the calendar."""
-    from huddle.plans import metrics
+    """The aggregates layer: period tables over the published facts, and the calendar.
+
+    Teams per day, week and month come from the stored days, of which a daily run replaces those it touched.
+    """
+    from huddle.plans import day_state, metrics
     enriched, f = wh.read("analytics", "f_events_enriched"), wh.read("analytics", "f_events_rsvps")
     members, events = wh.read("analytics", "d_membership"), wh.read("analytics", "d_events")
+    day_state.refresh(wh, enriched, None if wh.cfg.full_load else wh.touched.get("event_days"))
+    days = wh.read("aggregates", day_state.STATE)
     tables = {
         "membership_enriched": metrics.fct_membership_enriched(f, members),
-        "weekly_monthly": metrics.agg_weekly_monthly(enriched),
-        "daily_active_teams": metrics.met_daily_active_teams(events),
+        "weekly_monthly": day_state.weekly_monthly(days),
+        "daily_active_teams": day_state.daily_active_teams(days),
         "new_vs_returning": metrics.met_new_vs_returning(f, members),
         "events_per_region": metrics.met_events_per_region(enriched),
         "dim_date": metrics.dim_date("lo", "hi", frame=metrics.data_date_span((events, "event_start"), (f, "responded_at"))),
