@@ -1049,6 +1049,22 @@ def agg_weekly_monthly(spark, sf):
     return out(metrics.agg_weekly_monthly(chain(spark, sf).enriched))
 
 
+@probe("met_attendance_by_day")
+def met_attendance_by_day(spark, sf):
+    return out(metrics.attendance_by_day(chain(spark, sf).f_rsvps))
+
+
+@probe("met_activity_streaks")
+def met_activity_streaks(spark, sf):
+    return out(metrics.activity_streaks(chain(spark, sf).f_rsvps))
+
+
+@probe("win_status_at_start")
+def win_status_at_start(spark, sf):
+    c = chain(spark, sf)
+    return out(metrics.status_at_start(c.f_rsvps, c.d_events))
+
+
 @probe("dim_date")
 def dim_date(spark, sf):
     c = chain(spark, sf)

@@ -562,6 +562,29 @@ FULL OUTER JOIN (SELECT CAST(joined_at AS DATE) AS day, count(*) AS new_members
 WHERE coalesce(a.activity_date, j.day) IS NOT NULL"""),
     "agg_weekly_monthly": PERIODS,
     "agg_periods_from_days": PERIODS,
+    "met_attendance_by_day": w(f"""SELECT day AS as_of, CAST(count(*) AS BIGINT) AS invites,
+  CAST(count(*) FILTER (WHERE rsvp_status = 1) AS BIGINT) AS accepted,
+  {rate("count(*) FILTER (WHERE rsvp_status = 1)", "count(*)")} AS attendance_rate
+FROM (SELECT DISTINCT CAST(responded_at AS DATE) AS day FROM f_rsvps) d
+JOIN f_rsvps f ON CAST(f.responded_at AS DATE) <= d.day AND NOT EXISTS (
+  SELECT 1 FROM f_rsvps g WHERE g.event_id = f.event_id AND g.membership_id = f.membership_id
+    AND CAST(g.responded_at AS DATE) <= d.day
+    AND (g.responded_at > f.responded_at OR g.responded_at = f.responded_at AND g.event_rsvp_id < f.event_rsvp_id))
+GROUP BY day"""),
+    "met_activity_streaks": w("""SELECT membership_id, streak_start, weeks,
+  CAST(date_diff('day', lag(last_week) OVER (PARTITION BY membership_id ORDER BY streak_start), streak_start) // 7 - 1 AS BIGINT) AS weeks_before
+FROM (SELECT membership_id, run, min(week) AS streak_start, max(week) AS last_week, count(*) AS weeks
+      FROM (SELECT *, sum(starts) OVER (PARTITION BY membership_id ORDER BY week) AS run
+            FROM (SELECT *, CASE WHEN lag(week) OVER (PARTITION BY membership_id ORDER BY week) = week - 7 THEN 0 ELSE 1 END AS starts
+                  FROM (SELECT DISTINCT membership_id, CAST(date_trunc('week', responded_at) AS DATE) AS week FROM f_rsvps
+                        WHERE responded_at IS NOT NULL) x) y) z
+      GROUP BY membership_id, run) s"""),
+    "win_status_at_start": w("""SELECT p.event_id, p.membership_id, e.event_start, f.event_rsvp_id, f.rsvp_status
+FROM (SELECT DISTINCT event_id, membership_id FROM f_rsvps) p JOIN d_events e ON p.event_id = e.event_id
+LEFT JOIN f_rsvps f ON f.event_id = p.event_id AND f.membership_id = p.membership_id AND f.responded_at <= e.event_start
+  AND NOT EXISTS (SELECT 1 FROM f_rsvps g WHERE g.event_id = p.event_id AND g.membership_id = p.membership_id
+    AND g.responded_at <= e.event_start
+    AND (g.responded_at > f.responded_at OR g.responded_at = f.responded_at AND g.event_rsvp_id < f.event_rsvp_id))"""),
     "dim_date": w("""SELECT CAST(d AS DATE) AS date, CAST(isodow(d) AS INTEGER) AS day_of_week,
   CAST(week(d) AS INTEGER) AS iso_week, CAST(date_trunc('week', d) AS DATE) AS week_start,
   CAST(month(d) AS INTEGER) AS month, CAST(date_trunc('month', d) AS DATE) AS month_start,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from huddle.functions import exprs as X
+from huddle.operators.asof import as_of_join, intervals
 
 
 def met_daily_active_teams(d_events: DataFrame) -> DataFrame:
@@ -36,6 +37,45 @@ def met_attendance_30d(f_rsvps: DataFrame, as_of: str | dt.date) -> DataFrame:
                     X.rate_pct("accepted", "invites").alias("attendance_rate")))
 
 
+def attendance_by_day(f_rsvps: DataFrame) -> DataFrame:
+    """As of the end of every day with an answer: (event, member) pairs that have answered by then, and those
+    whose answer in force is accepted. A pair counts from one answer to the next; days are running sums."""
+    history = intervals(f_rsvps, ["event_id", "membership_id"], "responded_at", ["rsvp_status"], ["event_rsvp_id"])
+    yes = (F.col("rsvp_status") == 1).cast("int")
+    ends = F.array(F.struct(X.to_date("valid_from").alias("day"), F.lit(1).alias("pairs"), yes.alias("accepted")),
+                   F.struct(X.to_date("valid_to").alias("day"), F.lit(-1).alias("pairs"), (-yes).alias("accepted")))
+    days = (history.select(F.explode(ends).alias("e")).where(F.col("e.day").isNotNull())
+            .groupBy("e.day").agg(F.sum("e.pairs").alias("pairs"), F.sum("e.accepted").alias("accepted")))
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)  # one row a day
+    return (days.select(F.col("day").alias("as_of"), F.sum("pairs").over(so_far).alias("invites"),
+                        F.sum("accepted").over(so_far).alias("accepted"))
+            .withColumn("attendance_rate", X.rate_pct("accepted", "invites")))
+
+
+def activity_streaks(f_rsvps: DataFrame) -> DataFrame:
+    """(membership_id, streak_start, weeks, weeks_before): every run of consecutive weeks with an answer of a member,
+    its length, and the weeks without one since the run before (null for a member's first).
+
+    Answers are first reduced to one row per member and week, so a very active member costs a row a week.
+    """
+    weeks = (f_rsvps.where(F.col("responded_at").isNotNull())
+             .select("membership_id", X.week_start("responded_at").alias("week")).distinct())
+    # consecutive weeks, less seven days for each row before, share one day
+    island = F.expr("date_sub(week, CAST(7 * row_number() OVER (PARTITION BY membership_id ORDER BY week) AS INT))")
+    runs = (weeks.withColumn("island", island).groupBy("membership_id", "island")
+            .agg(F.min("week").alias("streak_start"), F.max("week").alias("last_week"), F.count(F.lit(1)).alias("weeks")))
+    before = F.lag("last_week").over(Window.partitionBy("membership_id").orderBy("streak_start"))
+    gap = (F.datediff("streak_start", before) / 7 - 1).cast("bigint")
+    return runs.select("membership_id", "streak_start", "weeks", gap.alias("weeks_before"))
+
+
+def status_at_start(f_rsvps: DataFrame, d_events: DataFrame) -> DataFrame:
+    """For every (event, member) pair with an answer: the answer in force when the event began (null: none yet)."""
+    pairs = f_rsvps.select("event_id", "membership_id").distinct().join(d_events.select("event_id", "event_start"), "event_id")
+    return as_of_join(pairs, f_rsvps, ["event_id", "membership_id"], "event_start", "responded_at",
+                      ["event_rsvp_id", "rsvp_status"], ["event_rsvp_id"])
+
+
 def met_new_vs_returning(f_rsvps: DataFrame, d_membership: DataFrame) -> DataFrame:
     """Per response week: members answering in their joining week (new), after
     it (returning), or before it (before_join). Weeks start on Monday and keep
