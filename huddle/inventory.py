@@ -1059,6 +1059,11 @@ def met_activity_streaks(spark, sf):
     return out(metrics.activity_streaks(chain(spark, sf).f_rsvps))
 
 
+@probe("agg_activity_rollup")
+def agg_activity_rollup(spark, sf):
+    return out(metrics.activity_rollup(chain(spark, sf).enriched))
+
+
 @probe("win_status_at_start")
 def win_status_at_start(spark, sf):
     c = chain(spark, sf)

@@ -579,6 +579,11 @@ FROM (SELECT membership_id, run, min(week) AS streak_start, max(week) AS last_we
                   FROM (SELECT DISTINCT membership_id, CAST(date_trunc('week', responded_at) AS DATE) AS week FROM f_rsvps
                         WHERE responded_at IS NOT NULL) x) y) z
       GROUP BY membership_id, run) s"""),
+    "agg_activity_rollup": w("""SELECT country_code, region, team_activity,
+  CAST(GROUPING(country_code, region, team_activity) AS INTEGER) AS level, count(*) AS events,
+  count(DISTINCT team_id) AS active_teams, CAST(coalesce(sum(total_rsvps), 0) AS BIGINT) AS total_rsvps
+FROM enriched
+GROUP BY GROUPING SETS ((country_code, region, team_activity), (country_code, region), (country_code), ())"""),
     "win_status_at_start": w("""SELECT p.event_id, p.membership_id, e.event_start, f.event_rsvp_id, f.rsvp_status
 FROM (SELECT DISTINCT event_id, membership_id FROM f_rsvps) p JOIN d_events e ON p.event_id = e.event_id
 LEFT JOIN f_rsvps f ON f.event_id = p.event_id AND f.membership_id = p.membership_id AND f.responded_at <= e.event_start

@@ -99,6 +99,19 @@ def met_events_per_region(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("country_code", "region").agg(F.count(F.lit(1)).alias("events"))
 
 
+def activity_rollup(enriched: DataFrame) -> DataFrame:
+    """Events, distinct teams and answers by (country, region, activity), by (country, region), by country and in all.
+
+    One scan and one aggregation for all levels. ``level`` is the grouping id: bit 1 activity, bit 2 region, bit 4
+    country summed over, which tells a total from a group whose region is null.
+    """
+    c, r, a = (F.col(x) for x in ("country_code", "region", "team_activity"))
+    return (enriched.groupingSets([[c, r, a], [c, r], [c], []], c, r, a)
+            .agg(F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("events"),
+                 F.countDistinct("team_id").alias("active_teams"),
+                 F.coalesce(F.sum("total_rsvps"), F.lit(0)).alias("total_rsvps")))
+
+
 def fct_membership_enriched(f_rsvps: DataFrame, d_membership: DataFrame) -> DataFrame:
     """Per day: active members (answered that day), new members (joined that
     day), returning members (active, joined on an earlier day)."""
