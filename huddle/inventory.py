@@ -23,6 +23,7 @@ from huddle.operators import geo as G, keys as K, schema as S, sinks
 from huddle.plans import batch, clean, day_state, dims, facts, maintenance, metrics, quality, raw
 from huddle.session import prepare, scratch_path
 from huddle.sources import catalog, files
+from huddle.streaming.daily import DailyStream
 from huddle.streaming.incremental import revalidate_clean
 
 # The probes read all dated rows of the fixtures; RANGE_CFG is for operators whose feature is a date range.
@@ -941,6 +942,24 @@ def inc_retraction(spark, sf):
         rows("f_events_enriched", "event_id", "event_date", "region", "total_rsvps", "accepted_rsvps")])
 
 
+@probe("inc_stream")
+def inc_stream(spark, sf):
+    """The enriched fact after three landings of CSV files, each taken up by the same checkpointed stream: a base
+    load, one day, and the days after it. What one full load gives."""
+    prepare(spark)
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "inc-stream")
+    stream = DailyStream(spark, landing, scratch_path(spark, "stream-state"), PROBE_CFG, adapter.geo_boxes(spark, sf), root)
+    day = F.coalesce("p_date", F.lit(CHAIN_BASE_END).cast("date"))
+    parts = {"base": day <= F.lit(CHAIN_BASE_END).cast("date"), "day": day == F.lit(CHAIN_DAYS[0]).cast("date"),
+             "rest": day > F.lit(CHAIN_DAYS[0]).cast("date")}
+    for name, rows in parts.items():
+        for e in schemas.ENTITIES:
+            files.write_csv(adapter.raw(spark, sf, e).where(rows).drop("p_date"), f"{landing}/{e}/{name}")
+        stream.run()
+    return out(batch.Warehouse(spark, PROBE_CFG, root).read("analytics", "f_events_enriched")
+               .drop("etl_created_date", "etl_updated_date"))
+
+
 @probe("agg_periods_from_days")
 def agg_periods_from_days(spark, sf):
     """Weekly and monthly rollups from the stored days only, which two loads brought together; the second one

@@ -484,6 +484,7 @@ GROUP BY ALL"""),
     "fct_events_enriched": w("SELECT * FROM enriched"),
     "fct_event_rsvps_wide": w("SELECT * FROM wide"),
     "inc_chain": w("SELECT * FROM enriched"),
+    "inc_stream": w("SELECT * FROM enriched"),
     "inc_retraction": "WITH " + ",".join([WITHDRAWALS, CLEAN, PUBLISHED]) + "\n" + " UNION ALL ".join([
         _state("d_teams", "d_teams", "team_id", "country_code", "team_activity"),
         _state("d_membership", "d_membership", "membership_id", "team_id"),

@@ -1,7 +1,7 @@
 """Incremental (daily) processing.
 
-The source pipeline is batch with a daily cadence; there is no stream source.
-This package holds what makes a one-day run produce the same tables as a full
-reload: partition-scoped merges, latest-flag repair across days, and fact
-refresh for touched partitions only.
+``incremental`` holds what makes a one-day run produce the same tables as a full
+reload: partition-scoped merges, latest-flag repair across days, and fact refresh for
+touched partitions only. ``retraction`` follows withdrawn and reinstated parents to
+their children. ``daily`` drives both from a landing folder with Structured Streaming.
 """
