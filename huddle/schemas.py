@@ -83,6 +83,7 @@ STORED = {
                           f"is_valid_rsvp boolean, {_CHECKED}, p_date date",
     "team_ids": "team_id string, id bigint",
     "team_days": "page bigint, teams binary, events bigint, total_rsvps bigint, accepted_rsvps bigint, event_date date",
+    "partition_histograms": "table_name string, column_name string, value string, n bigint, p_date date",
     **{f"changes_{t}": "key string, p_date date" for t in ("clean_teams", "clean_membership", "clean_events", "clean_events_rsvps")},
     "d_teams": f"team_id string, team_activity string, country_code string, created_at timestamp, {_AUDIT}",
     "d_membership": f"membership_id string, team_id string, role_title string, joined_at timestamp, {_AUDIT}",
