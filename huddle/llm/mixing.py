@@ -82,7 +82,8 @@ def block_draws(sizes: DataFrame, seed: int = SEED, weights: tuple[int, ...] = W
         order.rowsBetween(Window.unboundedPreceding, 0))})
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - passes * F.col("source_size")
-    b = b.withColumns({"__passes": passes, "__rest": rest}).withColumn("__first", F.col("__upto") <= F.col("__rest"))
+    b = b.withColumns({"__passes": passes, "__rest": rest}).withColumn(
+        "__first", (F.col("__upto") <= F.col("__rest")) & (F.col("__rest") > 0))  # nothing left: not even blocks without words
     source = Window.partitionBy("__src")
     left = F.col("__rest") - F.coalesce(F.max(F.when(F.col("__first"), F.col("__upto"))).over(source), F.lit(0))
     b = b.withColumn("__left", left)

@@ -25,7 +25,7 @@ b1 AS (SELECT b0.*, s.source_size, s.target,
                           ROWS UNBOUNDED PRECEDING) AS upto
        FROM b0 JOIN s USING (src)),
 b2 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM b1),
-b3 AS (SELECT *, target - passes * source_size AS rest, upto <= target - passes * source_size AS fits FROM b2),
+b3 AS (SELECT *, target - passes * source_size AS rest, upto <= target - passes * source_size AND target > passes * source_size AS fits FROM b2),
 b4 AS (SELECT *, rest - coalesce(max(CASE WHEN fits THEN upto END) OVER (PARTITION BY src), 0) AS remaining FROM b3),
 b5 AS (SELECT *, row_number() OVER (PARTITION BY src, fits ORDER BY abs(remaining - words), upto,
          {_H60.format("concat_ws('|', '23', 'block', src, CAST(block AS VARCHAR))")}, block) AS nearest FROM b4),

@@ -149,3 +149,13 @@ def test_mix_oracle(spark):
     want = sorted(tuple(r[cols.index(c)] for c in sorted(cols)) for r in cur.fetchall())
     df = queries.queries()["op5_mix_sources"](spark, SF001)
     assert sorted(map(tuple, df.select(*sorted(df.columns)).collect())) == want
+
+
+def test_empty_documents_are_drawn_as_often_as_the_cap_allows(spark):
+    """A source at its cap has three whole passes and nothing left over, also for its documents without words."""
+    rows = [(i, "a", "w " * 3 if i < 20 else "") for i in range(220)] + [(1000 + i, "b", "w " * 900) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    targets = {r.source_size: r.target for r in mixing.mix_report(docs).collect()}
+    assert targets[60] == 180
+    drawn = {r.doc_id: r["count"] for r in mixing.mix_documents(docs).groupBy("doc_id").count().collect()}
+    assert all(drawn[i] == 3 for i in range(220)) and max(drawn.values()) == 3
