@@ -10,18 +10,23 @@ the indicators learned below.
    are taken by a hash of the id (the documented bound of the fit), from rows whose
    crc32(id) mod 3 is not 1; the rest is held out.
 2. Terms are words and word beginnings of 4 to 8 bytes. Their document counts in
-   toxic and clean rows of the sample are summed in Spark and the ``TERMS`` with the
-   highest chi-square are kept: a bounded list.
-3. One ridge logistic model per category. The model of a category sees the terms
-   and the logits of all earlier categories; for training those are out-of-fold
-   predictions (``FOLDS`` folds by hash), so a later model learns from earlier
-   outputs as unsure as they will be on new texts.
+   toxic and clean rows of the sample are summed in Spark, by fold. Every term that is
+   more frequent in toxic rows with a chi-square of ``SIGNIFICANT`` is kept: no number
+   of terms is fixed, the list grows with the lexicon and is bounded by the sample.
+3. One ridge logistic model per category, on sparse rows. The model of a category sees
+   the terms and the probabilities of all earlier categories; for training those are
+   out-of-fold predictions (``FOLDS`` folds by hash). A fold's models use the terms, the
+   indicators and the derived categories of the other folds alone, so a later model
+   learns from earlier outputs as unsure as they will be on new texts.
 4. Scoring is one pass over all documents with the term list and three weight
    vectors; row by row, whole texts, no shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,7 +35,7 @@ from huddle.llm.common import (WORD_BYTES, Memo, batches, bounded_sample, held_o
 
 CATEGORIES = ("dense", "repeated", "toxic")
 PREFIXES = (4, 5, 6, 7, 8)
-TERMS = 256
+SIGNIFICANT = 6.63  # chi-square of one degree of freedom at 0.01: rare words of a large lexicon still reach it
 MIN_ROWS = 4
 FOLDS = 5
 MAX_LABELLED = 12_000
@@ -52,135 +57,243 @@ def text_terms(text: bytes) -> set[bytes]:
     return out
 
 
-def select_terms(sample: DataFrame, keep: int = TERMS) -> list[tuple[bytes, int, int]]:
-    """(term, toxic rows, clean rows) of the terms that tell most, by chi-square."""
+def significant(a, b, na: float, nb: float):
+    """Whether terms of ``a`` of ``na`` toxic and ``b`` of ``nb`` clean rows tell a toxic text (columns or arrays)."""
+    enough = SIGNIFICANT * (a + b) * (na + nb - a - b + 1.0) * na * nb
+    return (a + b >= MIN_ROWS) & (a * nb > b * na) & ((na + nb) * (a * (nb - b) - b * (na - a)) ** 2 >= enough)
+
+
+class Terms:
+    """The chosen terms with, for the whole sample (row 0) and for the sample without fold f (row f + 1),
+    which of them are significant and which are indicators: at least ten times as frequent in toxic rows."""
+
+    def __init__(self, terms: list[bytes], a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray):
+        """Counts by fold: ``a`` and ``b`` are terms by folds, ``na`` and ``nb`` rows by fold."""
+        some = np.zeros(len(terms), bool)
+        used, strong = [], []
+        for f in range(-1, len(na)):
+            own = [x.sum(-1) - (x[..., f] if f >= 0 else 0) for x in (a, b, na, nb)]
+            use = significant(*own)
+            used.append(use)
+            strong.append(use & (own[0] >= 10 * (own[1] + 0.5)))
+            some |= use
+        order = np.flatnonzero(some)
+        self.terms = [terms[i] for i in order]
+        self.used, self.strong = np.array(used)[:, order], np.array(strong)[:, order]
+
+
+def select_terms(sample: DataFrame) -> Terms:
+    """Every term that is significant in the sample, or in the sample without one of its folds."""
 
     def run(it):
         from collections import Counter
-        toxic, clean = Counter(), Counter()
+        counts = Counter()
         for b in batches(it, 256):
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                (toxic if y else clean).update(text_terms(t))
-            if len(toxic) + len(clean) > 400_000:
-                yield from _counts(toxic, clean)
-                toxic, clean = Counter(), Counter()
-        yield from _counts(toxic, clean)
-
-    counts = sample.select("t", "label").mapInArrow(run, "term binary, a bigint, b bigint").groupBy("term").agg(
-        F.sum("a").alias("a"), F.sum("b").alias("b"))
-    n = sample.groupBy().agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("n")).first()
-    na, nb = float(n["a"] or 0), float(n["n"] - (n["a"] or 0))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi = (na + nb) * F.pow(a * (nb - b) - b * (na - a), 2) / ((a + b) * (na + nb - a - b + F.lit(1.0)))
-    top = (counts.where(F.col("a") + F.col("b") >= MIN_ROWS).where(a * nb > b * na)
-           .orderBy(F.desc(chi), "term").limit(keep).collect())
-    return [(bytes(r["term"]), r["a"], r["b"]) for r in top]
-
-
-def _counts(toxic, clean):
-    terms = list(toxic.keys() | clean.keys())
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array([toxic[t] for t in terms], pa.int64()),
-                                      pa.array([clean[t] for t in terms], pa.int64())], names=["term", "a", "b"])
+            for t, y, f in zip(*(c.to_pylist() for c in b.columns)):
+                counts.update([(x, f, y) for x in text_terms(t)])
+            if len(counts) > 400_000:
+                yield _counts(counts)
+                counts = Counter()
+        yield _counts(counts)
+
+    fold = F.pmod("h", F.lit(FOLDS)).alias("fold")
+    counts = sample.select("t", "label", fold).mapInArrow(run, "term binary, fold bigint, label bigint, n bigint")
+    cells = [F.sum(F.when((F.col("fold") == f) & (F.col("label") == y), F.col("n")).otherwise(0)).alias(f"{'ba'[y]}{f}")
+             for y in (1, 0) for f in range(FOLDS)]
+    counts = counts.groupBy("term").agg(*cells)
+    rows = {(r["fold"], r["label"]): r["n"] for r in sample.groupBy(fold, "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    na, nb = (np.array([rows.get((f, y), 0) for f in range(FOLDS)], float) for y in (1, 0))
+    a, b = ([F.col(f"{c}{f}").cast("double") for f in range(FOLDS)] for c in "ab")
+
+    def without(f: int):
+        return [sum(x for i, x in enumerate(c) if i != f) for c in (a, b, na.tolist(), nb.tolist())]
+    got = counts.where(reduce(or_, [significant(*without(f)) for f in range(-1, FOLDS)])).orderBy("term").toArrow()
+    a, b = (np.stack([got.column(f"{c}{f}").to_numpy() for f in range(FOLDS)], axis=1).astype(float) for c in "ab")
+    return Terms([bytes(t) for t in got.column("term").to_pylist()], a, b, na, nb)
+
+
+def _counts(counts) -> pa.RecordBatch:
+    keys = list(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int64()),
+         pa.array([k[2] for k in keys], pa.int64()), pa.array(counts.values(), pa.int64())], names=["term", "fold", "label", "n"])
 
 
 class Features:
-    """Texts to dense rows: log counts and rates of the chosen terms, log length, and indicator hits."""
+    """Texts to the chosen terms they hold, and indicator words by part of the sample."""
 
-    def __init__(self, terms: list[tuple[bytes, int, int]]):
-        self.index = {t: i for i, (t, _, _) in enumerate(terms)}
-        # indicator words proper: terms at least ten times as frequent in toxic rows as in clean ones
-        self.strong = {i for i, (_, a, b) in enumerate(terms) if a >= 10 * (b + 0.5)}
+    def __init__(self, terms: list[bytes], strong: np.ndarray | None = None):
+        self.index = {t: i for i, t in enumerate(terms)}
+        self.strong = strong
         self.n = len(terms)
         self.memo = Memo(self._find)
 
     def _find(self, word: bytes):
-        got = tuple(i for i in map(self.index.get, word_terms(word)) if i is not None)
-        return got or None
-
-    def __call__(self, text: bytes) -> tuple[np.ndarray, int, int]:
-        """(features, indicator words, words)"""
+        """(terms of the word, parts of the sample in which one of them is an indicator)"""
+        got = [i for i in map(self.index.get, word_terms(word)) if i is not None]
+        if not got:
+            return None
+        return np.array(got), None if self.strong is None else self.strong[:, got].any(axis=1).astype(np.int64)
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, int]:
+        """(terms in ascending order, their counts, indicator words by part, words)"""
         words = text.translate(WORD_BYTES).split()
         found = [f for f in map(self.memo.__getitem__, words) if f]
-        out = np.zeros(2 * self.n + 1)
-        hits = 0
-        if found:
-            tf = np.bincount(np.concatenate(found), minlength=self.n)
-            out[:self.n] = np.log1p(tf)
-            out[self.n:-1] = np.minimum(3.0, tf * 50.0 / len(words))
-            hits = sum(not self.strong.isdisjoint(f) for f in found)
-        out[-1] = np.log1p(len(words)) / 10
-        return out, hits, len(words)
+        hits = None if self.strong is None else sum((f[1] for f in found), np.zeros(len(self.strong), np.int64))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), hits, len(words)
+        return *np.unique(np.concatenate([f[0] for f in found]), return_counts=True), hits, len(words)
+
+
+class Rows:
+    """Sparse rows: columns and values of row i at ``start[i]:start[i + 1]``."""
+
+    def __init__(self, start: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int):
+        self.start, self.cols, self.vals, self.n = start, cols, vals, n
+
+    @staticmethod
+    def of(x) -> Rows:
+        if isinstance(x, Rows):
+            return x
+        r, c = np.nonzero(x)
+        return Rows(np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(x)))]), c, x[r, c], x.shape[1])
+
+    @staticmethod
+    def of_terms(start: np.ndarray, terms: np.ndarray, tf: np.ndarray, words: np.ndarray, n: int) -> Rows:
+        """Log counts (columns 0 to n - 1) and rates (n to 2n - 1) of the terms, and the log length (2n)."""
+        size = np.diff(start)
+        at = 2 * start + np.arange(len(start))
+        cols, vals = np.empty(at[-1], np.int64), np.empty(at[-1], np.float32)
+        first = np.arange(len(terms)) + np.repeat(at[:-1] - start[:-1], size)
+        second = first + np.repeat(size, size)
+        cols[first], vals[first] = terms, np.log1p(tf)
+        cols[second], vals[second] = terms + n, np.minimum(3.0, tf * 50.0 / np.repeat(words, size))
+        cols[at[1:] - 1], vals[at[1:] - 1] = 2 * n, np.log1p(words) / 10
+        return Rows(at, cols, vals, 2 * n + 1)
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def take(self, rows: np.ndarray, used: np.ndarray | None = None) -> Rows:
+        """These rows, with the entries of used columns only."""
+        size = np.diff(self.start)[rows]
+        start = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(start[-1]) + np.repeat(self.start[:-1][rows] - start[:-1], size)
+        cols, vals = self.cols[at], self.vals[at]
+        if used is not None:
+            keep = used[cols]
+            start = np.concatenate([[0], np.cumsum(keep)])[start]
+            cols, vals = cols[keep], vals[keep]
+        return Rows(start, cols, vals, self.n)
+
+    def dot(self, v: np.ndarray) -> np.ndarray:
+        out, some = np.zeros(len(self)), self.start[:-1] < self.start[1:]
+        if some.any():
+            out[some] = np.add.reduceat(self.vals * v[self.cols], self.start[:-1][some])
+        return out
+
+    def tdot(self, u: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cols, weights=self.vals * np.repeat(u, np.diff(self.start)), minlength=self.n)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _blocks(x: np.ndarray, more: np.ndarray, rows: np.ndarray, size: int = 1024):
-    """Row blocks of the design matrix (terms, further columns, intercept) in double precision: the
-    whole matrix is held once, in single precision."""
-    for at in range(0, len(rows), size):
-        r = rows[at:at + size]
-        yield r, np.concatenate([x[r].astype(np.float64), more[r], np.ones((len(r), 1))], axis=1)
+def fit_logistic(x, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: int = 20,
+                 more: np.ndarray | None = None) -> np.ndarray:
+    """Weights (further columns and the intercept last) of a ridge logistic regression over sparse or dense rows,
+    by Newton steps solved with preconditioned conjugate gradients."""
+    x = Rows.of(x)
+    side = np.ones((len(x), 1)) if more is None else np.concatenate([more, np.ones((len(x), 1))], axis=1)
+    d = x.n + side.shape[1]
+    beta, penalty = np.zeros(d), np.full(d, ridge)
+    penalty[-1] = 1e-3
+    squares = Rows(x.start, x.cols, x.vals * x.vals, x.n)
+
+    def forth(v):
+        return x.dot(v[:x.n]) + side @ v[x.n:]
 
+    def back(u):
+        return np.concatenate([x.tdot(u), side.T @ u])
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: int = 12,
-                 more: np.ndarray | None = None, rows: np.ndarray | None = None) -> np.ndarray:
-    """Weights (intercept last) of a ridge logistic regression over ``rows``, by Newton steps."""
-    more = np.zeros((len(x), 0)) if more is None else more
-    rows = np.arange(len(x)) if rows is None else rows
-    d = x.shape[1] + more.shape[1] + 1
-    beta = np.zeros(d)
-    penalty = np.full(d, ridge)
-    penalty[-1] = 1e-3
+    def loss(v, z):
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() + (penalty * v * v).sum() / 2)
+
+    z = forth(beta)
     for _ in range(steps):
-        grad, hess = penalty * beta, np.diag(penalty)
-        for r, z in _blocks(x, more, rows):
-            p = sigmoid(z @ beta)
-            grad += z.T @ (w[r] * (p - y[r]))
-            hess += (z * (w[r] * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z
-        step = np.linalg.solve(hess, grad)
-        beta -= step
-        if np.abs(step).max() < 1e-3:
+        p = sigmoid(z)
+        grad = back(w * (p - y)) + penalty * beta
+        if not grad.any():
+            break
+        curve = w * np.maximum(p * (1 - p), 1e-4)
+        scale = penalty + np.concatenate([squares.tdot(curve), (side * side).T @ curve])
+        step, rest = np.zeros(d), -grad
+        lead = rest / scale
+        way, rho = lead, rest @ lead
+        stop = 0.05 * np.sqrt(rest @ rest)
+        for _ in range(60):
+            bent = back(curve * forth(way)) + penalty * way
+            size = rho / (way @ bent)
+            step, rest = step + size * way, rest - size * bent
+            if np.sqrt(rest @ rest) <= stop:
+                break
+            lead = rest / scale
+            rho, before = rest @ lead, rho
+            way = lead + (rho / before) * way
+        now, move, ahead = loss(beta, z), 1.0, forth(step)
+        while move > 1e-4 and loss(beta + move * step, z + move * ahead) > now:
+            move /= 2
+        beta, z = beta + move * step, z + move * ahead
+        if np.abs(move * step).max(initial=0) < 1e-3:
             break
     return beta
 
 
-def logits(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    return np.clip(x @ beta[:-1] + beta[-1], -8, 8)
+def logits(x, beta: np.ndarray, more: np.ndarray | None = None) -> np.ndarray:
+    x = Rows.of(x)
+    out = x.dot(beta[:x.n]) + beta[-1]
+    return out if more is None else out + more @ beta[x.n:-1]
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, weight: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """One weight vector per category; labels has one column per category, in chain order."""
+def fit_chain(x, labels: np.ndarray, weight: np.ndarray, folds: np.ndarray, parts: dict | None = None) -> list[np.ndarray]:
+    """One weight vector per category; labels has one column per category, in chain order.
+
+    ``parts`` gives for a fold the columns and the labels that its models may use, which come from the other folds.
+    """
+    x = Rows.of(x)
     betas, earlier = [], np.zeros((len(x), 0))
     for c in range(labels.shape[1]):
-        y = labels[:, c].astype(float)
-        betas.append(fit_logistic(x, y, weight, more=earlier))
+        betas.append(fit_logistic(x, labels[:, c].astype(float), weight, more=earlier))
         if c + 1 < labels.shape[1]:
             held = np.zeros(len(x))
             for f in np.unique(folds):
-                rest = np.flatnonzero(folds != f)
-                beta = fit_logistic(x, y, weight, more=earlier, rows=rest) if len(rest) else betas[-1]
-                for r, z in _blocks(x, earlier, np.flatnonzero(folds == f)):
-                    held[r] = logits(z[:, :-1], beta)
+                used, own = parts[f] if parts else (None, labels)
+                rest, fold = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
+                if not len(rest):  # a sample of one fold: nothing else to learn from
+                    held[fold] = sigmoid(logits(x, betas[-1], earlier))
+                    continue
+                beta = fit_logistic(x.take(rest, used), own[rest, c].astype(float), weight[rest], more=earlier[rest])
+                held[fold] = sigmoid(logits(x.take(fold, used), beta, earlier[fold]))
             earlier = np.concatenate([earlier, held[:, None]], axis=1)
     return betas
 
 
-def chain_scores(x: np.ndarray, betas: list[np.ndarray]) -> np.ndarray:
+def chain_scores(x, betas: list[np.ndarray]) -> np.ndarray:
     """Probabilities, one column per category."""
-    out, seen = [], x
+    x = Rows.of(x)
+    out = np.zeros((len(x), 0))
     for beta in betas:
-        z = logits(seen, beta)
-        out.append(sigmoid(z))
-        seen = np.concatenate([seen, z[:, None]], axis=1)
-    return np.stack(out, axis=1)
+        out = np.concatenate([out, sigmoid(logits(x, beta, out))[:, None]], axis=1)
+    return out
 
 
-def category_labels(label: np.ndarray, hits: np.ndarray, words: np.ndarray) -> np.ndarray:
+def category_labels(label: np.ndarray, hits: np.ndarray, words: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+    """The categories of the rows; the median rate is that of the toxic rows ``among`` (all)."""
     toxic = label == 1
     rate = hits / np.maximum(words, 1)
-    median = np.median(rate[toxic & (hits > 0)]) if (toxic & (hits > 0)).any() else np.inf
+    own = toxic & (hits > 0) if among is None else toxic & (hits > 0) & among
+    median = np.median(rate[own]) if own.any() else np.inf
     return np.stack([toxic & (hits > 0) & (rate >= median), toxic & (hits >= REPEATED), toxic], axis=1)
 
 
@@ -189,40 +302,46 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """The model: chosen terms and the weights of the chain, fitted on the bounded sample."""
     sample, share = bounded_sample(docs, labels, id_col, text_col, label_id_col, label_col, max_labelled, seed)
     sample = stage_table(docs.sparkSession, sample, "toxicity-sample")
-    terms = select_terms(sample)
+    chosen = select_terms(sample)
 
     def run(it):
-        feats = Features(terms)
+        feats = Features(chosen.terms, chosen.strong)
         for b in batches(it, 512):
             rows = [feats(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0].astype("<f4").tobytes() for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.int64()), b.column(1), b.column(2)],
-                names=["x", "hits", "words", "label", "fold"])
+                [*(pa.array([r[i] for r in rows], pa.list_(pa.int32())) for i in (0, 1, 2)),
+                 pa.array([r[3] for r in rows], pa.int64()), b.column(1), b.column(2)],
+                names=["terms", "tf", "hits", "words", "label", "h"])
 
-    got = (sample.select("t", "label", F.pmod("h", F.lit(FOLDS)).alias("fold"), "h")
-           .mapInArrow(lambda it: run(b.select(["t", "label", "fold"]) for b in it),
-                       "x binary, hits bigint, words bigint, label int, fold bigint").toArrow())
+    got = sample.select("t", "label", "h").mapInArrow(
+        run, "terms array<int>, tf array<int>, hits array<int>, words bigint, label int, h bigint").toArrow()
     if not got.num_rows:
-        return {"terms": terms, "betas": []}
-    x = np.empty((got.num_rows, 2 * len(terms) + 1), np.float32)
-    at = 0
-    for b in got.to_batches(max_chunksize=512):
-        x[at:at + b.num_rows] = np.frombuffer(b"".join(b.column(0).to_pylist()), "<f4").reshape(b.num_rows, -1)
-        at += b.num_rows
-    col = {c: got.column(c).to_numpy() for c in ("hits", "words", "label", "fold")}
-    order = np.lexsort((*x.T[:8], col["words"], col["fold"]))  # the same fit however the rows arrive
-    y = category_labels(col["label"], col["hits"], col["words"])
-    del got
-    x = x[order]
-    return {"terms": terms, "betas": fit_chain(x, y[order], share[col["label"]][order], col["fold"][order])}
+        return {"terms": chosen.terms, "betas": []}
+    got = got.sort_by([("h", "ascending"), ("words", "ascending"), ("label", "ascending")])  # the same fit however the rows arrive
+    col = {c: got.column(c).to_numpy() for c in ("words", "label", "h")}
+    lists = {c: got.column(c).combine_chunks() for c in ("terms", "tf", "hits")}
+    flat = {c: v.flatten().to_numpy().astype(np.int64) for c, v in lists.items()}
+    start = np.concatenate([[0], np.cumsum(lists["terms"].value_lengths().to_numpy())])
+    x = Rows.of_terms(start, flat["terms"], flat["tf"], col["words"], len(chosen.terms))
+    hits = flat["hits"].reshape(got.num_rows, -1)
+    folds = col["h"] % FOLDS
+    y = category_labels(col["label"], hits[:, 0], col["words"])
+    parts = {f: (np.concatenate([chosen.used[f + 1]] * 2 + [[True]]), category_labels(col["label"], hits[:, f + 1], col["words"], folds != f))
+             for f in np.unique(folds)}
+    betas = fit_chain(x, y, share[col["label"]], folds, parts)
+    return {"terms": chosen.terms, "betas": betas}
 
 
 def _scorer(model: dict):
-    def score(feats: Features, texts: list[bytes]) -> np.ndarray:
+    feats, n = Features(model["terms"]), len(model["terms"])
+
+    def score(texts: list[bytes]) -> np.ndarray:
         if not model["betas"]:
             return np.zeros((len(texts), len(CATEGORIES)))
-        return chain_scores(np.stack([feats(t)[0] for t in texts]), model["betas"])
+        rows = [feats(t) for t in texts]
+        start = np.concatenate([[0], np.cumsum([len(r[0]) for r in rows])]).astype(np.int64)
+        terms, tf = (np.concatenate([np.zeros(0, np.int64), *(r[i] for r in rows)]) for i in (0, 1))
+        return chain_scores(Rows.of_terms(start, terms, tf, np.array([r[3] for r in rows]), n), model["betas"])
     return score
 
 
@@ -237,12 +356,12 @@ def score_documents(docs: DataFrame, model: dict, *, id_col: str = "doc_id", tex
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
                        F.coalesce(text_bytes(text_col), F.lit(b"")).alias("t"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # TERMS terms and as many weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(it):
-        feats, score = Features(shared.value["terms"]), _scorer(shared.value)
+        score = _scorer(shared.value)
         for b in batches(it, 512):
-            p = score(feats, b.column(2).to_pylist())
+            p = score(b.column(2).to_pylist())
             bad = p[:, -1] >= THRESHOLD
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(p[:, -1]), pa.array(bad.astype(np.int32)), pa.array(bad),
@@ -259,10 +378,10 @@ def reject_toxic(docs: DataFrame, model: dict, *, text_col: str = "text") -> Dat
     place = docs.columns.index(text_col)
 
     def run(it):
-        feats, score = Features(shared.value["terms"]), _scorer(shared.value)
+        score = _scorer(shared.value)
         for b in batches(it, 512):
             texts = [(t or "").encode() for t in b.column(place).to_pylist()]
-            yield b.filter(pa.array(score(feats, texts)[:, -1] < THRESHOLD))
+            yield b.filter(pa.array(score(texts)[:, -1] < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -64,6 +64,64 @@ def test_chain_feeds_out_of_fold_predictions():
     assert ((p[:, 1] >= 0.5) == second).mean() >= ((alone >= 0.5) == second).mean() - 0.01
 
 
+@pytest.mark.parametrize("lexicon", [10, 100, 600])
+def test_toxic_recall_with_small_and_large_lexicons(spark, lexicon):
+    """Three words of the lexicon among forty others: every toxic word counts, however many there are."""
+    rng = np.random.default_rng(lexicon)
+    words = np.array(["".join(chr(97 + c) for c in w) for w in rng.integers(0, 26, (3000 + lexicon, 7))])
+    label = rng.integers(0, 2, 6000)
+    texts = [" ".join([*words[rng.integers(0, 3000, 40)], *(words[3000 + rng.integers(0, lexicon, 3)] if y else [])]) for y in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id bigint, toxic int")
+    held = [(r.predicted, label[r.doc_id]) for r in toxicity.toxicity_report(docs, labels).collect() if r.held_out]
+    assert np.mean([p for p, y in held if y]) >= 0.9
+    assert np.mean([p for p, y in held if not y]) <= 0.05
+
+
+def test_terms_equal_plain_counts(spark):
+    """Significance by part of the sample, against counts of the rows of each part."""
+    rng = np.random.default_rng(2)
+    vocabulary = [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        y = i % 2
+        rows.append((" ".join(rng.choice(vocabulary[:20] if y and rng.random() < 0.9 else vocabulary, 4)).encode(), y, i * 7))
+    chosen = toxicity.select_terms(spark.createDataFrame(rows, "t binary, label int, h bigint"))
+    for part in range(-1, toxicity.FOLDS):
+        own = [(toxicity.text_terms(t), y) for t, y, h in rows if h % toxicity.FOLDS != part]
+        na, nb = sum(y for _, y in own), sum(1 - y for _, y in own)
+        want, strong = set(), set()
+        for term in set().union(*(t for t, _ in own)):
+            a, b = (sum(term in t and y == c for t, y in own) for c in (1, 0))
+            if a + b >= toxicity.MIN_ROWS and a * nb > b * na and toxicity.SIGNIFICANT <= (na + nb) * (
+                    a * (nb - b) - b * (na - a)) ** 2 / ((a + b) * (na + nb - a - b + 1) * na * nb):
+                want.add(term)
+                strong |= {term} if a >= 10 * (b + 0.5) else set()
+        assert {t for t, u in zip(chosen.terms, chosen.used[part + 1]) if u} == want
+        assert {t for t, u in zip(chosen.terms, chosen.strong[part + 1]) if u} == strong
+    assert chosen.used.any(axis=1).all()
+
+
+def test_sparse_rows_and_fit_equal_dense_ones():
+    rng = np.random.default_rng(8)
+    start, tf = np.array([0, 2, 2, 5]), np.array([1, 4, 2, 1, 9])
+    rows = toxicity.Rows.of_terms(start, np.array([0, 3, 1, 2, 3]), tf, np.array([5, 0, 700]), 4)
+    dense = np.zeros((3, 9))
+    for i, t, n, words in ((0, 0, 1, 5), (0, 3, 4, 5), (2, 1, 2, 700), (2, 2, 1, 700), (2, 3, 9, 700)):
+        dense[i, t], dense[i, 4 + t] = np.log1p(n), min(3.0, n * 50 / words)
+    dense[:, 8] = np.log1p([5, 0, 700]) / 10
+    v, u = rng.standard_normal(9), rng.standard_normal(3)
+    assert np.allclose(rows.dot(v), dense @ v) and np.allclose(rows.tdot(u), dense.T @ u)
+    used = rng.random(9) < 0.5
+    assert np.allclose(rows.take(np.array([2, 0]), used).dot(v), (dense[[2, 0]] * used) @ v)
+    x = rng.standard_normal((300, 5)) * (rng.random((300, 5)) < 0.4)
+    y, w = (x[:, 0] + 0.5 * rng.standard_normal(300) > 0).astype(float), rng.uniform(0.5, 2, 300)
+    beta = toxicity.fit_logistic(x, y, w)
+    z = np.concatenate([x, np.ones((300, 1))], axis=1)
+    slope = z.T @ (w * (toxicity.sigmoid(z @ beta) - y)) + np.array([1, 1, 1, 1, 1, 1e-3]) * beta
+    assert np.abs(slope).max() < 1e-2  # where the penalised likelihood is flat
+
+
 @pytest.mark.parametrize("first", ["a", "\u0430"])
 def test_quality_that_shows_only_in_longer_words(spark, first):
     """Two vocabularies of lower-case words of one length and shape, Latin and Cyrillic."""
