@@ -102,6 +102,11 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     return rows.dropDuplicates(["__id"]).select("t", "label", "h"), share
 
 
+def id_key(id_col: str, text_col: str) -> Column:
+    """The id as text; rows without an id are told apart by their text, so that they are no single hot key."""
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~null"), text_key(text_col)))
+
+
 def stage_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = scratch_path(spark, name)

@@ -4,10 +4,20 @@ from __future__ import annotations
 
 _H60 = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
 
+
+def _tree_level(k: int) -> str:
+    """A level of the splitting tree: a node's draws in seeded order, the first ones go to the left half of its shards."""
+    h = _H60.format(f"concat_ws('|', '23', 'tree', '{k}', src, CAST(i AS VARCHAR))")
+    return f"""
+r{k} AS (SELECT *, (lo + hi) // 2 AS mid, row_number() OVER (PARTITION BY lo ORDER BY {h}, src, i) - 1 AS rk FROM n{k}),
+n{k + 1} AS (SELECT src, i, total, CASE WHEN rk < mid * total // 16 - lo * total // 16 THEN lo ELSE mid END AS lo,
+         CASE WHEN rk < mid * total // 16 - lo * total // 16 THEN mid ELSE hi END AS hi FROM r{k}),"""
+
+
 MIX = rf"""
 WITH d AS (
   SELECT doc_id, coalesce('=' || source, '~null') AS src,
-         {_H60.format("concat_ws('|', '23', coalesce(CAST(doc_id AS VARCHAR), '~null'))")} % 4096 AS block,
+         {_H60.format("concat_ws('|', '23', coalesce(CAST(doc_id AS VARCHAR), '~null' || md5(coalesce(text, ''))))")} % 4096 AS block,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s0 AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY src),
@@ -21,6 +31,7 @@ s AS (SELECT src, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE)
              / CAST(sum(CASE WHEN capped THEN 0 ELSE w END) OVER () AS DOUBLE) END AS target FROM s3),
 b0 AS (SELECT src, block, sum(size) AS words FROM d GROUP BY src, block),
 b1 AS (SELECT b0.*, s.source_size, s.target,
+         row_number() OVER (PARTITION BY src ORDER BY {_H60.format("concat_ws('|', '23', 'block', src, CAST(block AS VARCHAR))")}, block) - 1 AS perm,
          sum(words) OVER (PARTITION BY src ORDER BY {_H60.format("concat_ws('|', '23', 'block', src, CAST(block AS VARCHAR))")}, block
                           ROWS UNBOUNDED PRECEDING) AS upto
        FROM b0 JOIN s USING (src)),
@@ -29,9 +40,15 @@ b3 AS (SELECT *, target - passes * source_size AS rest, upto <= target - passes
 b4 AS (SELECT *, rest - coalesce(max(CASE WHEN fits THEN upto END) OVER (PARTITION BY src), 0) AS remaining FROM b3),
 b5 AS (SELECT *, row_number() OVER (PARTITION BY src, fits ORDER BY abs(remaining - words), upto,
          {_H60.format("concat_ws('|', '23', 'block', src, CAST(block AS VARCHAR))")}, block) AS nearest FROM b4),
-b AS (SELECT *, CASE WHEN fits OR (nearest = 1 AND abs(remaining - words) < remaining) THEN 1 ELSE 0 END AS again FROM b5)
-SELECT d.doc_id, d.size, b.source_size, b.target, CAST(d.size * (b.passes + b.again) AS BIGINT) AS taken
-FROM d JOIN b USING (src, block)
+b AS (SELECT *, CASE WHEN fits OR (nearest = 1 AND abs(remaining - words) < remaining) THEN 1 ELSE 0 END AS again FROM b5),
+draws AS (SELECT src, block, perm, unnest(range(1, CAST(passes + again AS BIGINT) + 1)) AS pass FROM b),
+nth AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY pass, perm) - 1 AS i FROM draws),
+n0 AS (SELECT src, i, count(*) OVER () AS total, CAST(0 AS BIGINT) AS lo, CAST(16 AS BIGINT) AS hi FROM nth),{"".join(map(_tree_level, range(4)))}
+runs AS (SELECT src, lo AS shard, count(*) AS n, sum(count(*)) OVER (PARTITION BY src ORDER BY lo) AS upto FROM n4 GROUP BY src, lo),
+shards AS (SELECT nth.src, block, string_agg(CAST(shard AS VARCHAR), ',' ORDER BY pass) AS shards
+           FROM nth JOIN runs ON runs.src = nth.src AND i < upto AND i >= upto - n GROUP BY nth.src, block)
+SELECT d.doc_id, d.size, b.source_size, b.target, CAST(d.size * (b.passes + b.again) AS BIGINT) AS taken, coalesce(shards.shards, '') AS shards
+FROM d JOIN b USING (src, block) LEFT JOIN shards USING (src, block)
 """
 
 
@@ -81,7 +98,7 @@ SHARD = rf"""
 WITH t AS (SELECT {_CRC_TABLE} AS crc),
 d AS (
   SELECT doc_id, coalesce('=' || source, '~null') AS src, strlen(coalesce(text, '')) + 16 AS size, hex(coalesce(text, '')) AS x,
-         {_H60.format("concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), '~null'))")} AS h FROM documents),
+         {_H60.format("concat_ws('|', '17', coalesce(CAST(doc_id AS VARCHAR), '~null' || md5(coalesce(text, ''))))")} AS h FROM documents),
 c AS (SELECT doc_id, src, size, h, xor(list_reduce(list_concat([4294967295], list_transform(range(0, CAST(len(x) / 2 AS BIGINT)),
            lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
            lambda a, b: xor(a >> 8, t.crc[xor(a, b) % 256 + 1])), 4294967295) AS text_crc32 FROM d, t),

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from huddle.llm.common import hash60, source_key, stage_table
+from huddle.llm.common import hash60, id_key, source_key, stage_table
 
 N_SHARDS = 40
 SEED = 17
@@ -53,7 +53,7 @@ def _shard_keys(docs: DataFrame, id_col: str, text_col: str, source_col: str, se
         F.col(id_col).alias("doc_id"), source_key(source_col).alias("__src"),
         (F.octet_length(text) + 16).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
-        hash60(F.lit(seed), id_col).alias("__h"))
+        hash60(F.lit(seed), id_key(id_col, text_col)).alias("__h"))
 
 
 def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "doc_id", text_col: str = "text",
@@ -64,7 +64,7 @@ def assign_shards(docs: DataFrame, n_shards: int = N_SHARDS, *, id_col: str = "d
     gaps in each shard; grown_shard is null (it belongs to another law).
 
     Cases: a null or empty text has size 16 and checksum 0; a null source is a
-    source of its own; a null id takes part like any other value; repeated rows
+    source of its own; rows with null ids are dealt by their text; repeated rows
     are separate rows, ordered by id, checksum and size (equal ones are
     interchangeable); with fewer rows than shards some shards are empty; an
     empty table gives an empty result. Extra columns are ignored.

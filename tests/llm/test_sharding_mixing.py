@@ -1,6 +1,8 @@
 """Sharding and mixing against brute force, laws and SQL."""
 
+import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -40,25 +42,27 @@ def test_shards_match_the_mixture(spark):
     assert {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in again}
 
 
-def test_sharding_brute_force(spark):
-    import hashlib
-    docs = frame(spark, [f"t{i}" for i in range(300)], [f"s{i % 7}" if i % 11 else None for i in range(300)])
-    rows = docs.collect()
+def brute_shards(rows, n_shards=sharding.N_SHARDS, seed=sharding.SEED):
+    """(id, text, source) rows -> sorted (id, shard, slot)."""
+    groups, order = defaultdict(list), []
+    for i, t, s in rows:
+        t = (t or "").encode()
+        groups["~null" if s is None else "=" + s].append((h60(seed, id_text(i, t.decode())), -1 if i is None else i, zlib.crc32(t), len(t)))
+    for s, own in groups.items():
+        order += [((k + 0.5) / len(own), s, *r) for k, r in enumerate(sorted(own))]
+    n, out = len(rows), []
+    for pos, r in enumerate(sorted(order)):
+        shard = pos * n_shards // n
+        out.append((r[3], shard, pos - -(-shard * n // n_shards)))
+    return sorted(out)
 
-    def h(i):
-        return int(hashlib.md5(f"17|{i}".encode()).hexdigest()[:15], 16)
 
-    groups = defaultdict(list)
-    for r in rows:
-        groups["~null" if r.source is None else "=" + r.source].append(r.doc_id)
-    order = []
-    for s, ids in groups.items():
-        ids.sort(key=h)
-        order += [((k + 0.5) / len(ids), s, h(i), i) for k, i in enumerate(ids)]
-    want = {i: pos for pos, (_, _, _, i) in enumerate(sorted(order))}
-    for r in sharding.assign_shards(docs, 8, rows_per_bucket=37).collect():
-        assert r.shard == want[r.doc_id] * 8 // 300
-        assert r.slot == want[r.doc_id] - -(-r.shard * 300 // 8)
+def test_sharding_brute_force(spark, edge):
+    docs = frame(spark, [f"t{i}" for i in range(300)], [f"s{i % 7}" if i % 11 else None for i in range(300)])
+    for d in (docs, edge):
+        got = sharding.assign_shards(d, 8, rows_per_bucket=37).collect()
+        want = brute_shards([(r.doc_id, r.text, r.source) for r in d.collect()], 8)
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.shard, r.slot) for r in got) == want
 
 
 def test_sharding_edges(spark, edge, empty):
@@ -104,20 +108,119 @@ def test_mix_targets_and_draws(spark):
         assert abs(taken[s] - want[s]) <= 60, (s, taken[s], want[s])
 
 
+def brute_split(quotas, n_shards, seed=mixing.SEED):
+    """The tree in plain Python: quotas by source key -> running counts by shard."""
+    total = sum(quotas.values())
+
+    def split(draws, lo, hi, level):
+        if hi - lo == 1:
+            return {lo: Counter(s for s, _ in draws)}
+        mid = (lo + hi) // 2
+        draws = sorted(draws, key=lambda d: (h60(seed, "tree", level, *d), *d))
+        cut = mid * total // n_shards - lo * total // n_shards
+        return split(draws[:cut], lo, mid, level + 1) | split(draws[cut:], mid, hi, level + 1)
+
+    parts = split([(s, i) for s, q in quotas.items() for i in range(q)], 0, n_shards, 0)
+    return {s: np.cumsum([parts[j][s] for j in range(n_shards)]).tolist() for s in quotas}
+
+
+def h60(*parts):
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+
+
+def id_text(i, text):
+    return str(i) if i is not None else "~null" + hashlib.md5((text or "").encode()).hexdigest()
+
+
+def brute_mix(rows, n_shards=mixing.N_SHARDS, seed=mixing.SEED, blocks=mixing.BLOCKS):
+    """(id, text, source) rows -> for each row its size and the shards that draw it, by pass."""
+    rows = [(id_text(i, t), "~null" if s is None else "=" + s, len(re.findall(mixing.WORD, t or ""))) for i, t, s in rows]
+    sizes, words = Counter(), defaultdict(Counter)
+    at = [(s, h60(seed, i) % blocks) for i, s, _ in rows]
+    for (s, b), (_, _, n) in zip(at, rows):
+        sizes[s] += n
+        words[s][b] += n
+    targets = brute_targets({None if s == "~null" else s: n for s, n in sizes.items()}) if sum(sizes.values()) else {}
+    drawn = {}
+    for s in sizes:
+        target = targets.get(None if s == "~null" else s, 0.0)
+        order = sorted(words[s], key=lambda b: (h60(seed, "block", s, b), b))
+        passes = int(target // sizes[s]) if sizes[s] else 0
+        left = rest = target - passes * sizes[s]
+        once, upto = [], 0
+        for b in order:
+            upto += words[s][b]
+            if rest > 0 and upto <= rest:
+                once.append(b)
+                left = rest - upto
+        others = [(abs(left - words[s][b]), k, b) for k, b in enumerate(order) if b not in set(once) and abs(left - words[s][b]) < left]
+        once += [min(others)[2]] if others else []
+        drawn[s] = order * passes + [b for b in order if b in set(once)]
+    upto = brute_split({s: len(d) for s, d in drawn.items()}, n_shards, seed)
+    shards = defaultdict(list)
+    for s, d in drawn.items():
+        for i, b in enumerate(d):
+            shards[s, b].append(sum(u <= i for u in upto[s]))
+    return [(n, shards[x]) for x, (_, _, n) in zip(at, rows)]
+
+
+def split(spark, quotas, shards, seed=mixing.SEED):
+    df = spark.createDataFrame(list(quotas.items()), "__src string, __q bigint")
+    return {r["__src"]: r["__upto"] for r in mixing.split_quotas(df, shards, sum(quotas.values()), seed).collect()}
+
+
 @pytest.mark.parametrize("shards", [1, 2, 7, 16])
-def test_splitting_tree_is_exact(shards):
-    quotas = [0, 1, 17, 400, 33, 5000]
-    out = mixing.split_quotas(quotas, shards, 9)
-    assert out.shape == (shards, 6) and (out >= 0).all()
-    assert out.sum(axis=0).tolist() == quotas
-    assert out.sum(axis=1).max() - out.sum(axis=1).min() <= 1
-    assert (out == mixing.split_quotas(quotas, shards, 9)).all()
-    assert mixing.split_quotas([], 4, 1).shape == (4, 0)
-
-
-def test_splitting_tree_follows_the_hypergeometric_mean():
-    mean = np.mean([mixing.split_quotas([300, 100], 4, s)[0] for s in range(300)], axis=0)
-    assert abs(mean[0] - 75) < 1.5 and abs(mean[1] - 25) < 1.5
+def test_splitting_tree_is_exact(spark, shards, monkeypatch):
+    quotas = {"=a": 1, "=b": 17, "=c": 400, "=d": 33, "~null": 2000}
+    monkeypatch.setattr(mixing, "DRAWS_PER_BUCKET", 300)
+    upto = split(spark, quotas, shards, 9)
+    assert upto == brute_split(quotas, shards, 9)
+    out = np.diff(np.array([[0, *upto[s]] for s in quotas]), axis=1)
+    assert out.shape == (5, shards) and (out >= 0).all() and out.sum(axis=1).tolist() == list(quotas.values())
+    assert out.sum(axis=0).max() - out.sum(axis=0).min() <= 1
+    assert split(spark, {"=none": 0}, shards) == {}
+
+
+def test_splitting_tree_follows_the_hypergeometric_law():
+    """Mean and variance of a shard's part; 75 and 75 * 0.25 * 300 / 399 for a quarter of 300 and 100."""
+    parts = [brute_split({"=a": 300, "=b": 100}, 4, s)["=a"][0] for s in range(300)]
+    assert abs(np.mean(parts) - 75) < 1.5 and 9 < np.var(parts) < 20
+
+
+def test_mix_brute_force(spark, edge):
+    rng = random.Random(8)
+    sources = [rng.choice(["hot", "hot", "hot", "b", None, "c"]) for _ in range(500)]
+    texts = [" ".join(["w"] * rng.randrange(0, 40)) for _ in range(500)]
+    plain = frame(spark, texts, sources)
+    nulls = spark.createDataFrame([(None, f"no id {i} " * (i % 5), "b") for i in range(60)], "doc_id bigint, text string, source string")
+    for docs in (plain, plain.select("doc_id", "text", "source").unionByName(nulls), edge.select("doc_id", "text", "source")):
+        rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        want = Counter((i, n, n * len(s), ",".join(map(str, s))) for (i, _, _), (n, s) in zip(rows, brute_mix(rows)))
+        assert Counter((r.doc_id, r.size, r.taken, r.shards) for r in mixing.mix_report(docs).collect()) == want
+        drawn = Counter((i, p, x) for (i, _, _), (_, s) in zip(rows, brute_mix(rows)) for p, x in enumerate(s))
+        assert Counter((r.doc_id, r.mix_pass, r.mix_shard) for r in mixing.mix_documents(docs).collect()) == drawn
+
+
+def test_layout_keeps_pieces_whole_and_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE_WORDS", 100)
+    docs = frame(spark, ["w " * (i % 9 + 1) for i in range(600)], [f"s{i % 3}" for i in range(600)])
+    mixed = mixing.mix_documents(docs, 4, layout=True)
+    parts = mixed.rdd.glom().collect()
+    rows = [r for p in parts for r in p]
+    words = sum(len(r.text.split()) for r in rows)
+    pieces = -(-words // 400)
+    assert pieces > 3
+    where = defaultdict(set)
+    for k, p in enumerate(parts):
+        at = [(r.mix_shard, r.mix_order) for r in p]
+        assert at == sorted(at)
+        for s, o in at:
+            where[s, int(o * pieces / 2 ** 60)].add(k)
+    assert len(where) == 4 * pieces and all(len(v) == 1 for v in where.values())
+    assert Counter((r.doc_id, r.mix_shard, r.mix_pass, r.mix_order) for r in rows) == Counter(
+        (r.doc_id, r.mix_shard, r.mix_pass, r.mix_order) for r in mixing.mix_documents(docs.repartition(3), 4).collect())
+    again = mixing.mix_documents(mixed, 4)  # its own columns come in again
+    assert again.columns == mixed.columns
 
 
 def test_mixed_documents_hold_every_draw(spark):
