@@ -39,8 +39,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as it is drawn for its source's target."""
-    return mixing.mix_documents(docs, positions=False)
+    """The mix: each document as often as it is drawn for its source's target, laid out shard by shard in shuffled order."""
+    return mixing.mix_documents(docs, positions=False, layout=True)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
