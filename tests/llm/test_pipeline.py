@@ -1,4 +1,4 @@
-"""The pipeline's stages, each held against a brute-force version on its own input."""
+"""The pipeline's stages on their own input: toxicity against its scores and the labels, the others against brute force."""
 
 from collections import Counter
 
