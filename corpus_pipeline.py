@@ -56,7 +56,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: The classifier and the sketches have no SQL form; tests hold each stage against a brute-force version.
+#: The classifier has no SQL form. Tests hold the other stages against brute-force versions, the classifier's against its scores and labels.
 ORACLE_SQL = None
 
 
