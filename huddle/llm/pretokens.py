@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Sequence
 from functools import lru_cache
 
 import regex
@@ -64,12 +65,15 @@ class PreTokenizer:
         self._model = self.tokenizer.model
         self._pieces = Memo(self._encode_pretoken)
 
-    def _encode_pretoken(self, pretoken: str) -> list[int]:
-        word = pretoken.encode().decode("latin-1").translate(self._alphabet)
-        return [t.id for t in self._model.tokenize(word)]
+    def _encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
+        plain = pretoken.isascii() and pretoken.isalnum()  # these bytes are written as they are
+        word = pretoken if plain else pretoken.encode().decode("latin-1").translate(self._alphabet)
+        return tuple(t.id for t in self._model.tokenize(word))
 
-    def encode_chunk(self, chunk: str) -> list[int]:
+    def encode_chunk(self, chunk: str) -> Sequence[int]:
         """Ids of a piece of text that starts and ends where a pre-token does."""
+        if self.words_only and chunk.isalpha():  # letters alone are one pre-token
+            return self._pieces[chunk]
         return [i for p in self.pattern.findall(chunk) for i in self._pieces[p]]
 
     def whole(self, text: str) -> list[int]:

@@ -19,6 +19,7 @@ and any reader that Spark has can fetch single blocks.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from functools import lru_cache
 from itertools import chain
@@ -35,21 +36,25 @@ SCALE_BITS = 16
 LANES = 1024
 BLOCK_SYMBOLS = 1 << 18
 CHECKPOINT_STEPS = 128
-LOW = np.uint64(1 << 16)
+LOW = np.uint32(1 << 16)
 
 BLOCK_SCHEMA = ("part int, block int, n_symbols bigint, lanes int, payload binary, checkpoints binary, "
                 "stream_crc bigint, ids_crc bigint, doc_ids array<{id}>, lengths array<bigint>")
 
 
 class FrequencyTable:
-    """Static frequencies that sum to 2^16: cumulative starts and the slot -> symbol table."""
+    """Static frequencies that sum to 2^16: cumulative starts, and by slot its symbol, frequency and place in it.
+
+    No step of the coder leaves 32 bits, so all tables have that width.
+    """
 
     def __init__(self, freq: np.ndarray):
-        self.freq = freq.astype(np.uint64)
-        self.start = np.zeros(len(freq), np.uint64)
+        self.freq = freq.astype(np.uint32)
+        self.start = np.zeros(len(freq), np.uint32)
         self.start[1:] = np.cumsum(self.freq)[:-1]
-        self.limit = self.freq << np.uint64(16)  # a state at or over this renormalises first
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
+        self.slot_freq = self.freq[self.symbol]
+        self.slot_place = np.arange(len(self.symbol), dtype=np.uint32) - self.start[self.symbol]
 
 
 def scale_counts(counts: np.ndarray) -> np.ndarray:
@@ -73,21 +78,23 @@ def encode_block(ids: np.ndarray, table: FrequencyTable, lanes: int = LANES,
     """(payload, checkpoints) of a block of ids. The payload is the words in decoding order; a
     checkpoint is a step, a position in the words and all lane states before that step."""
     steps = -(-len(ids) // lanes)
-    state = np.full(lanes, LOW, np.uint64)
+    state = np.full(lanes, LOW, np.uint32)
+    half = np.uint32(16)
+    freq, start = table.freq[ids], table.start[ids]
     words: list[np.ndarray] = []
     marks: list[tuple[int, int, np.ndarray]] = []
     written = 0
     for step in range(steps - 1, -1, -1):
-        s = ids[step * lanes:(step + 1) * lanes]
-        x = state[:len(s)]
-        f, c = table.freq[s], table.start[s]
-        over = x >= table.limit[s]
+        f = freq[step * lanes:(step + 1) * lanes]
+        x = state[:len(f)]
+        high = x >> half
+        over = high >= f  # such a state renormalises first
         out = x[over]
         words.append(out.astype("<u2"))
         written += len(out)
-        x = np.where(over, x >> np.uint64(16), x)
+        x = np.where(over, high, x)
         q = x // f
-        state[:len(s)] = (q << np.uint64(16)) + (x - q * f) + c
+        state[:len(f)] = (q << half) + (x - q * f) + start[step * lanes:(step + 1) * lanes]
         if step % every == 0:
             marks.append((step, written, state.astype("<u4")))
     payload = b"".join(w.tobytes() for w in reversed(words))
@@ -99,9 +106,9 @@ def decode_steps(payload: bytes, checkpoint: bytes, n_symbols: int, upto: int, t
                  lanes: int = LANES) -> np.ndarray:
     """Ids of the steps from a checkpoint up to (not including) step ``upto``."""
     step, at = (int(v) for v in np.frombuffer(checkpoint, "<u8", 2))
-    state = np.frombuffer(checkpoint, "<u4", lanes, 16).astype(np.uint64)
+    state = np.frombuffer(checkpoint, "<u4", lanes, 16).astype(np.uint32)
     words = np.frombuffer(payload, "<u2")
-    low16 = np.uint64(0xFFFF)
+    low16, half = np.uint32(0xFFFF), np.uint32(16)
     upto = min(upto, -(-n_symbols // lanes))
     out = np.empty(max(0, min(upto * lanes, n_symbols) - step * lanes), np.uint32)
     done = 0
@@ -109,13 +116,12 @@ def decode_steps(payload: bytes, checkpoint: bytes, n_symbols: int, upto: int, t
         n = min(lanes, n_symbols - t * lanes)
         x = state[:n]
         slot = x & low16
-        s = table.symbol[slot]
-        out[done:done + n] = s
+        out[done:done + n] = table.symbol[slot]
         done += n
-        x = table.freq[s] * (x >> np.uint64(16)) + slot - table.start[s]
+        x = table.slot_freq[slot] * (x >> half) + table.slot_place[slot]
         need = np.flatnonzero(x < LOW)
         if len(need):
-            x[need] = (x[need] << np.uint64(16)) | words[at:at + len(need)]
+            x[need] = (x[need] << half) | words[at:at + len(need)]
             at += len(need)
         state[:n] = x
     return out
@@ -131,7 +137,8 @@ class Encoder:
 
     def __init__(self, path: str, dtype: str):
         self.pre, self.dtype = pretokenizer(path), dtype
-        pack = lambda ids: np.array(ids, dtype).tobytes()
+        letter = {"<u2": "H", "<u4": "I"}[dtype]
+        pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
         self.plain = ChunkMemo(lambda c: pack(self.pre.encode_chunk(c)))
         self.spaced = ChunkMemo(lambda c: pack(self.pre.encode_chunk(" " + c)))
         self.pack = pack
