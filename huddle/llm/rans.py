@@ -147,6 +147,8 @@ class Encoder:
         parts = self.pre.parts(text)
         if parts is None:
             return self.pack(self.pre.whole(text))
+        if self.pre.words_only and len(parts) == 1:  # nearly every text of such a file
+            return b"".join(map(self.plain.__getitem__, self.pre.chunks(parts[0])[0]))
         out = []
         for part in parts:
             if isinstance(part, int):
@@ -203,12 +205,14 @@ def encode_files(docs: DataFrame, tokenizer_path: str, path: str, *, vocab: int,
     spark = docs.sparkSession
     wide = vocab > 1 << 16
     dtype = "<u4" if wide else "<u2"
-    tokens = stage_table(spark, tokenize(docs, tokenizer_path, id_col, text_col, wide), "token-ids")
+    # the tie is stored, so that sampling the ranges of the order reads no ids
+    tokens = stage_table(spark, tokenize(docs, tokenizer_path, id_col, text_col, wide).withColumn("__tie", F.xxhash64("ids")),
+                         "token-ids")
     freq = scale_counts(symbol_counts(tokens, vocab, wide))
     shared = spark.sparkContext.broadcast(freq)  # one number per id of the vocabulary
     id_type = tokens.schema["doc_id"].dataType.simpleString()
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (tokens.withColumn("__tie", F.xxhash64("ids")).repartitionByRange(n, "doc_id", "__tie")
+    ordered = (tokens.repartitionByRange(n, "doc_id", "__tie")
                .sortWithinPartitions("doc_id", "__tie").select(F.spark_partition_id().alias("part"), "doc_id", "ids"))
     schema = BLOCK_SCHEMA.format(id=id_type)
     arrow_id = pa.string() if id_type == "string" else None

@@ -97,3 +97,22 @@ def test_damage_is_found(spark):
     spark.read.parquet(f"{path}/table").write.parquet(f"{bad}/table")
     with pytest.raises(Exception, match="damaged"):
         rans.decode_files(spark, bad, 49_408).count()
+
+
+def test_words_of_letters_skip_the_pattern_and_the_coder_stays_in_32_bits():
+    encode = rans.Encoder(WORD, "<u2")
+    words, text = encode.pre.pattern, "Alpha gämma beta Gämma"
+
+    class Unused:
+        def findall(self, chunk):
+            raise AssertionError(chunk)
+    encode.pre.pattern = Unused()
+    try:
+        got = encode(text)
+    finally:
+        encode.pre.pattern = words
+    assert list(np.frombuffer(got, "<u2")) == encode.pre.whole(text)
+    only = rans.FrequencyTable(rans.scale_counts(np.array([0, 9, 0])))  # one symbol holds all 2^16 slots
+    assert only.freq.dtype == only.start.dtype == only.slot_place.dtype == np.uint32 and int(only.freq[1]) == 1 << 16
+    ids = np.ones(5000, np.uint16)
+    assert np.array_equal(rans.decode_block(*rans.encode_block(ids, only), len(ids), only), ids)
