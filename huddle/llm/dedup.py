@@ -34,7 +34,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from huddle.llm.common import (SlotFilter, batches, gram_hashes, hash_memo, hash_words, mix64, slot_filter, stage_table,
                                text_bytes, text_key)
@@ -182,12 +182,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         step = labels.join(near.withColumnRenamed("a", "node"), "node").select(
             "node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         step = stage_table(spark, step, "dedup-labels")
+        if step.where(F.col("old") != F.col("label")).isEmpty():  # no link joins two labels any more
+            return step.select("node", "label")
         up = step.select(F.col("node").alias("label"), F.col("label").alias("root"))
         labels = stage_table(spark, step.join(up, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("root", "label")).alias("label")), "dedup-labels")
-        if not labels.where(F.col("old") != F.col("label")).limit(1).count():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+            "node", F.least("label", F.coalesce("root", "label")).alias("label")), "dedup-labels")
 
 
 class Grouping:
@@ -207,22 +206,24 @@ class Grouping:
             "cid", F.coalesce("label", "comp").alias("comp")), "dedup-comp")
 
     def open_buckets(self, members: DataFrame) -> DataFrame:
-        """The rows of buckets that hold several components, with those."""
+        """The rows of buckets that hold several components: bucket, cid, hub, comp and the most central class of
+        another component (o_hub, o_cid). Staged, as buckets only close: the next round looks at these rows alone."""
         rows = members.join(self.comp, "cid")
-        several = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-        return rows.join(several.select("bucket"), "bucket")
+        best = rows.groupBy("bucket", "comp").agg(F.max(F.struct("hub", "cid")).alias("w"))
+        # the two best components are picked on both sides of the shuffle, so no bucket is gathered
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("w").desc()))
+        two = best.withColumn("rank", rank).where("rank <= 2").groupBy("bucket").agg(*[
+            F.max(F.when(F.col("rank") == n, F.struct("w.hub", "w.cid", "comp"))).alias(c) for n, c in ((1, "first"), (2, "second"))])
+        rows = rows.join(two.where("second IS NOT NULL"), "bucket")
+        other = F.when(F.col("comp") == F.col("first.comp"), F.col("second")).otherwise(F.col("first"))
+        rows = rows.select("bucket", "cid", "hub", "comp", other.alias("o"))
+        return stage_table(self.spark, rows.select("bucket", "cid", "hub", "comp", F.col("o.hub").alias("o_hub"),
+                                                   F.col("o.cid").alias("o_cid")), "dedup-open")
 
 
 def central_pairs(rows: DataFrame, tested: DataFrame) -> DataFrame:
     """For each class the most central class of another component in one of its buckets, if not yet tested."""
-    who = F.struct(F.col("hub"), F.col("cid"), F.col("comp"))
-    first = rows.groupBy("bucket").agg(F.max(who).alias("first"))
-    rows = rows.join(first, "bucket")
-    second = rows.where(F.col("comp") != F.col("first.comp")).groupBy("bucket").agg(F.max(who).alias("second"))
-    rows = rows.join(second, "bucket")
-    other = F.when(F.col("comp") == F.col("first.comp"), F.col("second")).otherwise(F.col("first"))
-    offers = rows.select("cid", other.alias("o")).select("cid", F.col("o.hub").alias("hub"), F.col("o.cid").alias("other")).distinct()
-    offers = offers.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b"), "cid", "hub", "other")
+    offers = rows.select(F.least("cid", "o_cid").alias("a"), F.greatest("cid", "o_cid").alias("b"), "cid", F.col("o_hub").alias("hub")).distinct()
     offers = offers.join(tested, ["a", "b"], "left_anti")
     best = offers.groupBy("cid").agg(F.max(F.struct("hub", "a", "b")).alias("p"))
     return best.select("p.a", "p.b").distinct()
@@ -320,14 +321,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     wanted = classes.join(groups.comp.select("cid"), "cid", "left_semi").select("cid", "rep")
     sets = stage_table(spark, full_sets(docs, wanted, id_col, text_col), "dedup-sets")
     tested = [spark.createDataFrame([], "a binary, b binary")]
+    rest = groups.open_buckets(members)
     for _ in range(rounds):
-        pairs = stage_table(spark, central_pairs(groups.open_buckets(members), reduce(DataFrame.unionByName, tested)), "dedup-pairs")
-        if not pairs.limit(1).count():
+        pairs = stage_table(spark, central_pairs(rest, reduce(DataFrame.unionByName, tested)), "dedup-pairs")
+        if pairs.isEmpty():
             break
         tested.append(pairs)
         groups.link(stage_table(spark, confirm(pairs, sets), "dedup-confirmed"))
-    rest = groups.open_buckets(members)
-    if rest.limit(1).count():
+        rest = groups.open_buckets(rest.select("bucket", "cid", "hub"))
+    if not rest.isEmpty():
         pairs = stage_table(spark, prefix_pairs(rest, sets, reduce(DataFrame.unionByName, tested)), "dedup-pairs")
         groups.link(stage_table(spark, confirm(pairs, sets), "dedup-confirmed"))
     comp = classes.select("cid", "rep").join(groups.comp, "cid", "left").select(

@@ -108,3 +108,18 @@ def test_edges(spark, edge, empty):
     want = [r for r in dict.fromkeys(rows) if shingles(r[1]) and r[1] != "two  WORDS"] + [r for r in rows if not shingles(r[1])]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert dedup.keep_one_per_group(empty).count() == 0
+
+
+def test_a_round_reads_the_open_buckets_of_the_round_before(spark, monkeypatch):
+    read = {}
+
+    def spy(session, df, name, stage=dedup.stage_table):
+        read.setdefault(name, []).append({f.split("/huddle/")[-1].rsplit("-", 1)[0].split("/")[0] for f in df.inputFiles()})
+        return stage(session, df, name)
+    monkeypatch.setattr(dedup, "stage_table", spy)
+    words = [f"w{i}" for i in range(60)]
+    # two chains of near copies, so that buckets stay open after the first round
+    rows = [(c * 10 + i, " ".join(words[:i] + [f"c{c}x{i}"] + words[i + 1:])) for c in range(2) for i in range(0, 10, 3)]
+    dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert not any("dedup-members" in name for names in read["dedup-pairs"] for name in names)
+    assert len(read["dedup-open"]) > 1 and not any("dedup-members" in n for names in read["dedup-open"][1:] for n in names)
