@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from huddle.llm.common import (WORD_BYTES, Memo, batches, bounded_sample, held_out, stage_table, text_bytes)
+from huddle.llm.common import (HASH_ENTRIES, WORD_BYTES, Memo, batches, bounded_sample, held_out, stage_table, text_bytes)
 
 CATEGORIES = ("dense", "repeated", "toxic")
 PREFIXES = (4, 5, 6, 7, 8)
@@ -39,6 +39,7 @@ SIGNIFICANT = 6.63  # chi-square of one degree of freedom at 0.01: rare words of
 MIN_ROWS = 4
 FOLDS = 5
 MAX_LABELLED = 12_000
+COUNTED = 150_000  # counts of terms that a task holds at once; Spark adds them up
 RIDGE = 1.0
 REPEATED = 3
 SEED = 29
@@ -91,7 +92,7 @@ def select_terms(sample: DataFrame) -> Terms:
         for b in batches(it, 256):
             for t, y, f in zip(*(c.to_pylist() for c in b.columns)):
                 counts.update([(x, f, y) for x in text_terms(t)])
-            if len(counts) > 400_000:
+            if len(counts) > COUNTED:
                 yield _counts(counts)
                 counts = Counter()
         yield _counts(counts)
@@ -123,17 +124,18 @@ class Features:
     """Texts to the chosen terms they hold, and indicator words by part of the sample."""
 
     def __init__(self, terms: list[bytes], strong: np.ndarray | None = None):
-        self.index = {t: i for i, t in enumerate(terms)}
+        index = {t: i for i, t in enumerate(terms)}
         self.strong = strong
-        self.n = len(terms)
-        self.memo = Memo(self._find)
-
-    def _find(self, word: bytes):
-        """(terms of the word, parts of the sample in which one of them is an indicator)"""
-        got = [i for i in map(self.index.get, word_terms(word)) if i is not None]
-        if not got:
-            return None
-        return np.array(got), None if self.strong is None else self.strong[:, got].any(axis=1).astype(np.int64)
+
+        def find(word: bytes):
+            """(terms of the word, parts of the sample in which one of them is an indicator)"""
+            got = [i for i in map(index.get, word_terms(word)) if i is not None]
+            if not got:
+                return None
+            return np.array(got), None if strong is None else strong[:, got].any(axis=1).astype(np.int64)
+
+        # a bound method here would keep the memo of an ended task until Python's collector runs
+        self.memo = Memo(find, HASH_ENTRIES)
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, int]:
         """(terms in ascending order, their counts, indicator words by part, words)"""

@@ -1,5 +1,7 @@
 """Quality and toxicity: held-out accuracy, independence of labels, edges."""
 
+import gc
+import weakref
 import zlib
 
 import numpy as np
@@ -102,6 +104,19 @@ def test_terms_equal_plain_counts(spark):
     assert chosen.used.any(axis=1).all()
 
 
+def test_an_ended_task_leaves_no_memo():
+    """Workers live on, so a task's words must go with its last reference, without Python's collector."""
+    gc.disable()
+    try:
+        feats = toxicity.Features([b"abcd"])
+        feats(b"abcdef xyz")
+        memo = weakref.ref(feats.memo)
+        del feats
+        assert memo() is None
+    finally:
+        gc.enable()
+
+
 def test_sparse_rows_and_fit_equal_dense_ones():
     rng = np.random.default_rng(8)
     start, tf = np.array([0, 2, 2, 5]), np.array([1, 4, 2, 1, 9])

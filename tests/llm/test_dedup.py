@@ -123,3 +123,16 @@ def test_a_round_reads_the_open_buckets_of_the_round_before(spark, monkeypatch):
     dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert not any("dedup-members" in name for names in read["dedup-pairs"] for name in names)
     assert len(read["dedup-open"]) > 1 and not any("dedup-members" in n for names in read["dedup-open"][1:] for n in names)
+
+
+def test_workers_are_handed_bounded_batches(spark):
+    """Sets of 400 kB: a batch holds some MB of them, not all that a task has."""
+    def run(it):
+        import pyarrow as pa
+        for b in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "size"])
+
+    sets = spark.range(0, 60, 1, 1).selectExpr("cast(repeat(cast(id % 10 as string), 400000) as binary) AS t")
+    got = sets.mapInArrow(run, "rows bigint, size bigint").collect()
+    assert sum(r["rows"] for r in got) == 60
+    assert max(r["size"] for r in got) <= 8 << 20
