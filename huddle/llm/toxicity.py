@@ -148,7 +148,10 @@ class Features:
 
 
 class Rows:
-    """Sparse rows: columns and values of row i at ``start[i]:start[i + 1]``."""
+    """Sparse rows: columns and values of row i at ``start[i]:start[i + 1]``. What is made beside them is made
+    for some BLOCK entries at a time: the driver fits in little more memory than the rows themselves take."""
+
+    BLOCK = 1 << 18
 
     def __init__(self, start: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int):
         self.start, self.cols, self.vals, self.n = start, cols, vals, n
@@ -163,40 +166,65 @@ class Rows:
     @staticmethod
     def of_terms(start: np.ndarray, terms: np.ndarray, tf: np.ndarray, words: np.ndarray, n: int) -> Rows:
         """Log counts (columns 0 to n - 1) and rates (n to 2n - 1) of the terms, and the log length (2n)."""
-        size = np.diff(start)
         at = 2 * start + np.arange(len(start))
-        cols, vals = np.empty(at[-1], np.int64), np.empty(at[-1], np.float32)
-        first = np.arange(len(terms)) + np.repeat(at[:-1] - start[:-1], size)
-        second = first + np.repeat(size, size)
-        cols[first], vals[first] = terms, np.log1p(tf)
-        cols[second], vals[second] = terms + n, np.minimum(3.0, tf * 50.0 / np.repeat(words, size))
+        cols, vals = np.empty(at[-1], np.int32), np.empty(at[-1], np.float32)
+        out = Rows(at, cols, vals, 2 * n + 1)
+        for i, j in out.blocks():
+            own, size = slice(start[i], start[j]), np.diff(start[i:j + 1])
+            first = np.arange(start[i], start[j]) + np.repeat(at[i:j] - start[i:j], size)
+            second = first + np.repeat(size, size)
+            cols[first], vals[first] = terms[own], np.log1p(tf[own])
+            cols[second], vals[second] = terms[own] + n, np.minimum(3.0, tf[own] * 50.0 / np.repeat(words[i:j], size))
         cols[at[1:] - 1], vals[at[1:] - 1] = 2 * n, np.log1p(words) / 10
-        return Rows(at, cols, vals, 2 * n + 1)
+        return out
 
     def __len__(self) -> int:
         return len(self.start) - 1
 
+    def blocks(self):
+        """The rows in runs of up to BLOCK entries, or one longer row: first row and the one after the last."""
+        i = 0
+        while i < len(self):
+            j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + self.BLOCK, "right")) - 1)
+            yield i, j
+            i = j
+
+    def sums(self, of) -> np.ndarray:
+        """For each row the sum of what ``of`` gives for its entries, which it is handed as a slice."""
+        out = np.zeros(len(self))
+        for i, j in self.blocks():
+            first, end = self.start[i:j], self.start[j]
+            some = first < self.start[i + 1:j + 1]
+            if some.any():
+                out[i:j][some] = np.add.reduceat(of(slice(first[0], end)), first[some] - first[0])
+        return out
+
     def take(self, rows: np.ndarray, used: np.ndarray | None = None) -> Rows:
         """These rows, with the entries of used columns only."""
-        size = np.diff(self.start)[rows]
-        start = np.concatenate([[0], np.cumsum(size)])
-        at = np.arange(start[-1]) + np.repeat(self.start[:-1][rows] - start[:-1], size)
-        cols, vals = self.cols[at], self.vals[at]
-        if used is not None:
-            keep = used[cols]
-            start = np.concatenate([[0], np.cumsum(keep)])[start]
-            cols, vals = cols[keep], vals[keep]
-        return Rows(start, cols, vals, self.n)
+        whole = np.diff(self.start)
+        size = whole if used is None else self.sums(lambda at: used[self.cols[at]].astype(np.int64)).astype(np.int64)
+        start = np.concatenate([[0], np.cumsum(size[rows])])
+        out = Rows(start, np.empty(start[-1], self.cols.dtype), np.empty(start[-1], self.vals.dtype), self.n)
+        for i, j in out.blocks():
+            own = whole[rows[i:j]]
+            at = np.arange(own.sum()) + np.repeat(self.start[:-1][rows[i:j]] - np.cumsum(own) + own, own)
+            if used is not None:
+                at = at[used[self.cols[at]]]
+            out.cols[start[i]:start[j]], out.vals[start[i]:start[j]] = self.cols[at], self.vals[at]
+        return out
 
     def dot(self, v: np.ndarray) -> np.ndarray:
-        out, some = np.zeros(len(self)), self.start[:-1] < self.start[1:]
-        if some.any():
-            out[some] = np.add.reduceat(self.vals * v[self.cols], self.start[:-1][some])
+        return self.sums(lambda at: self.vals[at] * v[self.cols[at]])
+
+    def tdot(self, u: np.ndarray, squared: bool = False) -> np.ndarray:
+        """The product of ``u`` with the rows, or with the squares of their values."""
+        out = np.zeros(self.n)
+        for i, j in self.blocks():
+            at = slice(self.start[i], self.start[j])
+            vals = self.vals[at] * self.vals[at] if squared else self.vals[at]
+            out += np.bincount(self.cols[at], weights=vals * np.repeat(u[i:j], np.diff(self.start[i:j + 1])), minlength=self.n)
         return out
 
-    def tdot(self, u: np.ndarray) -> np.ndarray:
-        return np.bincount(self.cols, weights=self.vals * np.repeat(u, np.diff(self.start)), minlength=self.n)
-
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
@@ -211,7 +239,6 @@ def fit_logistic(x, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: i
     d = x.n + side.shape[1]
     beta, penalty = np.zeros(d), np.full(d, ridge)
     penalty[-1] = 1e-3
-    squares = Rows(x.start, x.cols, x.vals * x.vals, x.n)
 
     def forth(v):
         return x.dot(v[:x.n]) + side @ v[x.n:]
@@ -229,7 +256,7 @@ def fit_logistic(x, y: np.ndarray, w: np.ndarray, ridge: float = RIDGE, steps: i
         if not grad.any():
             break
         curve = w * np.maximum(p * (1 - p), 1e-4)
-        scale = penalty + np.concatenate([squares.tdot(curve), (side * side).T @ curve])
+        scale = penalty + np.concatenate([x.tdot(curve, squared=True), (side * side).T @ curve])
         step, rest = np.zeros(d), -grad
         lead = rest / scale
         way, rho = lead, rest @ lead
@@ -322,10 +349,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     got = got.sort_by([("h", "ascending"), ("words", "ascending"), ("label", "ascending")])  # the same fit however the rows arrive
     col = {c: got.column(c).to_numpy() for c in ("words", "label", "h")}
     lists = {c: got.column(c).combine_chunks() for c in ("terms", "tf", "hits")}
-    flat = {c: v.flatten().to_numpy().astype(np.int64) for c, v in lists.items()}
-    start = np.concatenate([[0], np.cumsum(lists["terms"].value_lengths().to_numpy())])
+    start = np.concatenate([[0], np.cumsum(lists["terms"].value_lengths().to_numpy())]).astype(np.int64)
+    flat = {c: v.flatten().to_numpy() for c, v in lists.items()}
     x = Rows.of_terms(start, flat["terms"], flat["tf"], col["words"], len(chosen.terms))
-    hits = flat["hits"].reshape(got.num_rows, -1)
+    hits = flat["hits"].reshape(len(start) - 1, -1)
+    del got, lists, flat  # the rows hold all of it
+    pa.default_memory_pool().release_unused()
     folds = col["h"] % FOLDS
     y = category_labels(col["label"], hits[:, 0], col["words"])
     parts = {f: (np.concatenate([chosen.used[f + 1]] * 2 + [[True]]), category_labels(col["label"], hits[:, f + 1], col["words"], folds != f))

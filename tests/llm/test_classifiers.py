@@ -1,6 +1,7 @@
 """Quality and toxicity: held-out accuracy, independence of labels, edges."""
 
 import gc
+import tracemalloc
 import weakref
 import zlib
 
@@ -117,6 +118,29 @@ def test_an_ended_task_leaves_no_memo():
         gc.enable()
 
 
+def test_the_fit_makes_little_beside_its_rows(monkeypatch):
+    """300,000 terms of 3,000 rows: products, parts and the rows themselves, which are 5 MB, without tens of MB beside them."""
+    rng = np.random.default_rng(5)
+    n, each = 3_000, 100
+    start, terms = np.arange(n + 1) * each, rng.integers(0, 500, n * each).astype(np.int32)
+    tf, words = rng.integers(1, 9, n * each).astype(np.int32), rng.integers(100, 900, n)
+    used, v, u = rng.random(1001) < 0.8, rng.standard_normal(1001), rng.standard_normal(n)
+    whole = toxicity.Rows.of_terms(start, terms, tf, words, 500)
+    monkeypatch.setattr(toxicity.Rows, "BLOCK", 1 << 12)
+    tracemalloc.start()
+    rows = toxicity.Rows.of_terms(start, terms, tf, words, 500)
+    part = rows.take(np.arange(0, n, 2), used)
+    got = rows.dot(v), rows.tdot(u), rows.tdot(u, squared=True)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 10e6
+    assert (rows.cols == whole.cols).all() and (rows.vals == whole.vals).all() and (got[0] == whole.dot(v)).all()
+    assert np.allclose(got[1], whole.tdot(u)) and np.allclose(got[2], np.bincount(whole.cols, whole.vals ** 2 * np.repeat(u, 201)))
+    plain = [[(c, x) for c, x in zip(whole.cols[a:b], whole.vals[a:b]) if used[c]] for a, b in zip(whole.start[:-1:2], whole.start[1::2])]
+    assert [len(p) for p in plain] == np.diff(part.start).tolist()
+    assert [e for p in plain for e in p] == list(zip(part.cols, part.vals))
+
+
 def test_sparse_rows_and_fit_equal_dense_ones():
     rng = np.random.default_rng(8)
     start, tf = np.array([0, 2, 2, 5]), np.array([1, 4, 2, 1, 9])
