@@ -151,7 +151,7 @@ class Rows:
     """Sparse rows: columns and values of row i at ``start[i]:start[i + 1]``. What is made beside them is made
     for some BLOCK entries at a time: the driver fits in little more memory than the rows themselves take."""
 
-    BLOCK = 1 << 18
+    BLOCK = 1 << 16  # arrays of half a MB, which malloc gives out again; larger ones are mapped anew each time
 
     def __init__(self, start: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int):
         self.start, self.cols, self.vals, self.n = start, cols, vals, n
