@@ -17,12 +17,12 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import regex
 
-from huddle.llm.common import Memo
+from huddle.llm.common import MEMO_ENTRIES, Memo
 
 # The split patterns of the two tokenizer files, with Unicode white space spelled out
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -63,9 +63,10 @@ class PreTokenizer:
         self.split_added = re.compile("|".join(sorted(map(re.escape, self.added), key=len, reverse=True)) or r"(?!)")
         self._alphabet = byte_alphabet()
         self._model = self.tokenizer.model
-        self._pieces = Memo(self._encode_pretoken)
+        self._pieces = Memo(self.encode_pretoken)
 
-    def _encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
+    def encode_pretoken(self, pretoken: str) -> tuple[int, ...]:
+        """Ids of one pre-token; not kept."""
         plain = pretoken.isascii() and pretoken.isalnum()  # these bytes are written as they are
         word = pretoken if plain else pretoken.encode().decode("latin-1").translate(self._alphabet)
         return tuple(t.id for t in self._model.tokenize(word))
@@ -116,3 +117,22 @@ class ChunkMemo(Memo):
 
     def __missing__(self, key):
         return self._make(key) if "\n" in key else super().__missing__(key)
+
+
+class WordMemo(Memo):
+    """chunk or pre-token -> value, of a file that drops white space, in one bounded table.
+
+    A word is held once, whether it stands alone or beside a comma. Values of a chunk's pre-tokens are joined.
+    """
+
+    def __init__(self, split: Callable, make: Callable, limit: int = MEMO_ENTRIES):
+        super().__init__(make, limit)
+        self._split = split
+
+    def __missing__(self, key):
+        if key.isalpha() or (parts := self._split(key)) == [key]:  # letters alone are one pre-token
+            return super().__missing__(key)
+        value = b"".join([self[p] for p in parts])
+        if len(self) < self._limit:
+            self[key] = value
+        return value

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from huddle.llm.common import batches, stage_table
-from huddle.llm.pretokens import ChunkMemo, pretokenizer
+from huddle.llm.pretokens import ChunkMemo, WordMemo, pretokenizer
 
 END_ID = 1
 SCALE_BITS = 16
@@ -133,13 +133,19 @@ def decode_block(payload: bytes, checkpoints: bytes, n_symbols: int, table: Freq
 
 
 class Encoder:
-    """Texts to little-endian id bytes; each distinct chunk is encoded once per worker."""
+    """Texts to little-endian id bytes; each distinct chunk is encoded once per worker.
+
+    A worker keeps its tables for all tasks to come, beside the coders', so there is one table for a file of words only.
+    """
 
     def __init__(self, path: str, dtype: str):
         self.pre, self.dtype = pretokenizer(path), dtype
         letter = {"<u2": "H", "<u4": "I"}[dtype]
         pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
-        self.plain = ChunkMemo(lambda c: pack(self.pre.encode_chunk(c)))
+        if self.pre.words_only:
+            self.plain = WordMemo(lambda c: self.pre.pattern.findall(c), lambda p: pack(self.pre.encode_pretoken(p)))
+        else:
+            self.plain = ChunkMemo(lambda c: pack(self.pre.encode_chunk(c)))
         self.spaced = ChunkMemo(lambda c: pack(self.pre.encode_chunk(" " + c)))
         self.pack = pack
 

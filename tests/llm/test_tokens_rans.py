@@ -1,5 +1,6 @@
 """Token counts and rANS files against the tokenizers library."""
 
+import itertools
 import random
 import zlib
 
@@ -116,3 +117,15 @@ def test_words_of_letters_skip_the_pattern_and_the_coder_stays_in_32_bits():
     assert only.freq.dtype == only.start.dtype == only.slot_place.dtype == np.uint32 and int(only.freq[1]) == 1 << 16
     ids = np.ones(5000, np.uint16)
     assert np.array_equal(rans.decode_block(*rans.encode_block(ids, only), len(ids), only), ids)
+
+
+@pytest.mark.parametrize("limit", [5_000, 50])
+def test_a_worker_holds_a_word_once(monkeypatch, limit):
+    """Words alone, beside marks and inside other chunks: one table of at most ``limit`` entries, the library's ids."""
+    enc = rans.Encoder(WORD, "<u2")
+    enc.plain._limit, enc.pre = limit, PreTokenizer(WORD)
+    for w in map("wor{}".format, map("".join, itertools.product("abcdefghij", repeat=3))):
+        text = f"{w} {w}, {w}'s ({w}) {w}"
+        assert np.frombuffer(enc(text), "<u2").tolist() == enc.pre.whole(text)
+    held = [k for t in (enc.plain, enc.spaced, enc.pre._pieces) for k in t]
+    assert len(held) == len(set(held)) <= limit
