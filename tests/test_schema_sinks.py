@@ -161,3 +161,30 @@ def test_broken_swap_is_put_right(spark):
     os.rename(p.removeprefix("file:"), p.removeprefix("file:") + "__previous")
     assert sinks.target_exists(spark, p)
     assert spark.read.parquet(p).count() == 3
+
+
+def _encodings(path):
+    """Encodings of each column in the files below a path."""
+    import glob
+
+    import pyarrow.parquet as pq
+    out = {}
+    for f in glob.glob(f"{path.removeprefix('file://')}/**/*.parquet", recursive=True):
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        for i in range(group.num_columns):
+            out.setdefault(group.column(i).path_in_schema, set()).update(group.column(i).encodings)
+    return out
+
+
+def test_keys_are_written_without_dictionaries(spark):
+    from huddle.config import JobConfig
+    from huddle.operators.locations import Locations
+    from huddle.plans.batch import Warehouse
+    rows = spark.range(2000).selectExpr("concat('k', id) AS event_rsvp_id", "cast(id % 3 as string) AS role_title", "date'2024-01-01' AS p_date")
+    wh = Warehouse(spark, JobConfig(), scratch_path(spark, "t-plain"))
+    wh.write(rows, "raw", "t", "p_date")
+    Locations(wh, "t", "event_rsvp_id", buckets=2).rebuild(rows)
+    stored, listed = _encodings(wh.target("raw", "t")), _encodings(wh.target("clean", "locations_t_event_rsvp_id_2"))
+    assert not any("DICTIONARY" in e for e in stored["event_rsvp_id"] | listed["key"])
+    assert any("DICTIONARY" in e for e in stored["role_title"]) and any("DICTIONARY" in e for e in listed["p_date"])
+    assert wh.read("raw", "t").exceptAll(rows).count() == 0 and wh.read("raw", "t").count() == 2000
