@@ -87,3 +87,41 @@ def test_an_id_with_many_vectors_takes_one_place(spark):
     rows = [(1, [1.0, i / 1000]) for i in range(40)] + [(i, [1.0, float(i)]) for i in range(2, 9)] + [(0, [1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     assert [r[:3] for r in run(df, 50)] == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4), (0, 5, 5)]
+
+
+def test_queries_keep_their_best_from_tree_to_tree():
+    """A later tree costs far fewer exact scores than the first one, and leaves are met by many queries at once."""
+    rng = np.random.default_rng(4)
+    vec, queries = (rng.standard_normal((n, 8)).astype(np.float32) for n in (4000, 600))
+    s = vptree.Search(vec, queries, 6, 5, 1.0)
+    scores = []
+    for base in range(0, 4000, 1000):
+        s.walk(vptree.build_tree(vptree.normalised(vec[base:base + 1000]), 32), np.arange(600), base)
+        scores.append(s.exact_pairs - sum(scores))
+    assert max(scores[1:]) < scores[0] / 2
+    cos = vptree.normalised(queries) @ vptree.normalised(vec).T
+    assert s.row.tolist() == np.argsort(-cos, axis=1)[:, :6].tolist()
+
+
+def test_a_tree_is_unpacked_once_for_many_queries(spark, vectors):
+    """Trees are copied for each block of queries and queries for each part of the shards, not for each shard."""
+    _, df = vectors
+    rows = vptree.usable_rows(df, "vec_id", "embedding").where("size(v) = 16").cache()
+    assert rows.schema["v"].dataType.elementType.typeName() == "float"
+    found = vptree.classes(rows, 5).cache()
+    trees = vptree.plant_trees(found, 60, 16)
+    q, t = vptree.to_parts(found, trees, rows, 60, 300)
+    blocks = -(-rows.count() // 300)
+    parts = q.select("part").distinct().count()
+    assert blocks == 4 and parts <= 4 * 4 and q.count() == parts * rows.count()
+    assert t.count() == blocks * trees.count() and t.select("dim", "block", "shard").distinct().count() == t.count()
+
+
+@pytest.mark.parametrize("cast", ["float", "double"])
+def test_parts_of_several_trees_are_exact(spark, vectors, monkeypatch, cast):
+    rows, df = vectors
+    monkeypatch.setattr(vptree, "TASKS_PER_CORE", 1)
+    df = df.withColumn("embedding", df["embedding"].cast(f"array<{cast}>"))
+    got = run(df, 5, shard_rows=12, leaf_rows=4, query_block=90)
+    want = brute(rows, [i for i in range(907) if i % 5 == 0], 5)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
