@@ -68,3 +68,20 @@ def test_a_full_load_stores_raw_rows_without_a_shuffle_and_a_day_in_few_files(sp
         assert wh.read("raw", schemas.ENTITIES["events"][3]).where("p_date = DATE '2024-01-15'").count() == \
             src["events"].where("to_date(created_at) = DATE '2024-01-15'").count()
     assert seen == {True: 3, False: 1}
+
+
+def test_small_sides_of_joins_are_hashed_not_sorted(spark):
+    from huddle.session import prepare
+    limit, partitions = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions"
+    before = {k: spark.conf.get(k) for k in (limit, partitions)}
+    prepare(spark).conf.set(limit, "-1")
+    try:
+        keys = spark.range(0, 3000, 2).select(F.col("id").alias("k"))
+        df = spark.range(3000).join(keys, F.col("id") == F.col("k"), "left")
+        assert len(df.where("k IS NULL").collect()) == 1500
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "isFinalPlan=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
